@@ -5,21 +5,89 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, shared, tokenfile
+from . import impact, licenses, mixing, ogg, packing, shared, simhash, tokenfile, toxicity, urlrules, warc
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_sequences(shared.read(spark, sf_dir, "documents"))
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.verdicts(shared.read(spark, sf_dir, "pages"), shared.read(spark, sf_dir, "labels"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents have no paths: source, language and hundreds of ids stand for directories."""
+    docs = shared.read(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
+def op4_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ogg.media_features(ogg.media_column(shared.read(spark, sf_dir, "documents")))
+
+
+def op5_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact.top_k(shared.read(spark, sf_dir, "embeddings"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = shared.read(spark, sf_dir, "documents"), shared.read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(~toxicity.held_out()))
+    score = F.col("__score")
+    return toxicity.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), score.alias("score"), F.when(score >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted")
+    )
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(shared.read(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_tokens(tokenfile.write_tokens(shared.read(spark, sf_dir, "documents")))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.read(spark, sf_dir, "documents")
+    return mixing.mixed(docs.select("doc_id", "source"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(warc.resolved(shared.read(spark, sf_dir, "pages"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_packing": op1_packing,
-    "op8_token_file": op8_token_file,
-}
+    f.__name__: f
+    for f in (
+        op1_packing, op2_url_rules, op3_licenses, op4_ogg, op5_impact_search, op6_toxicity, op7_simhash, op8_token_file,
+        op9_mixing, op10_warc,
+    )
+}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_impact_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ),
+        r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+    "op10_warc": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+        f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS first FROM p)
+        SELECT page_id, n AS payload_bytes, d AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM f
+    """,
+}

@@ -6,6 +6,7 @@ Everything that has to outlive a task goes to the folder that the session names
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -78,6 +79,14 @@ def ship(spark: SparkSession) -> None:
     sc._spritelake_shipped = True
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table, made in the plan itself."""
+    names = [c.strip().split(" ")[0] for c in schema.split(",")]
+    text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    found = F.from_json(F.lit(text), f"array<struct<{','.join(c.strip().replace(' ', ':') for c in schema.split(','))}>>")
+    return spark.range(1).select(F.explode(found).alias("r")).select("r.*")
+
+
 def utf8(column) -> F.Column:
     """The UTF-8 bytes of a text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("binary")
