@@ -46,9 +46,9 @@ def similar_pairs(sprites: DataFrame, block: list[str], id_col: str = "sprite_id
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in block] + [F.col("a.c") == F.col("b.c"), F.col("a.id") < F.col("b.id")]
     sizes = F.least(F.size("a.p"), F.size("b.p")) >= F.greatest(F.size("a.p"), F.size("b.p")) * F.lit(least) - 1e-9
     met = a.join(b, on).filter(sizes)
-    # A pair that shares several prefix colours is kept at the first one only.
-    first = F.array_min(F.filter(F.transform("a.p", lambda x, i: F.when(F.array_contains("b.p", x), i)), lambda i: i.isNotNull()))
-    met = met.filter(F.get("a.p", first) == F.col("a.c"))
+    # A pair that shares several prefix colours is kept at the first one only; an intersection of
+    # two arrays in one order begins with it.
+    met = met.filter(F.get(F.array_intersect("a.p", "b.p"), 0) == F.col("a.c"))
     found = met.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), jaccard(F.col("a.p"), F.col("b.p")).alias("similarity"), *(F.col(f"a.{k}").alias(k) for k in block))
     return found.filter(F.col("similarity") >= least)
 
