@@ -15,6 +15,8 @@ Each cell gives k rows a query at most, and a window over the cells' rows gives
 Sums stay exact: they run in 32-bit floats where all possible sums are below 2**24, in 64-bit
 floats below 2**53, else in Python integers.
 
+Scores beyond 64 bits are cut to the nearest 64-bit integer.
+
 Cases: a vector that is null or holds a null or non-finite component takes no part, nor does a row
 without id; shorter vectors count as filled up with zeros; a row never meets rows of its own id;
 repeated ids keep their rows; fewer candidates than k give fewer rows; an empty table gives none;
@@ -158,7 +160,7 @@ def search_cell(query_ids: np.ndarray, queries: np.ndarray, segments: list[dict]
         active = active[counts > max(2 * k, FEW * n)]
         if not len(active):
             break
-    out = [(i, ids[j], int(v)) for i, (at, exact) in result.items() for j, v in zip(at, exact, strict=True)]
+    out = [(i, ids[j], max(-(1 << 63), min((1 << 63) - 1, int(v)))) for i, (at, exact) in result.items() for j, v in zip(at, exact, strict=True)]
     return out
 
 
