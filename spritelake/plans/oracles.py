@@ -166,6 +166,27 @@ ORACLE_SQL: dict[str, str] = {
         d AS (SELECT pack, idx, position, (r - pr) * (r - pr) + (g - pg) * (g - pg) + (b - pb) * (b - pb) AS distance FROM used, pal),
         k AS (SELECT *, row_number() OVER (PARTITION BY pack, idx ORDER BY distance, position) AS rn FROM d)
         SELECT CAST(pack AS BIGINT) AS pack, CAST(idx AS BIGINT) AS idx, CAST(position AS BIGINT) AS position, CAST(distance AS BIGINT) AS distance FROM k WHERE rn = 1""",
+    "index_sprites": f"""WITH {PX}, k AS (SELECT sprite_id, i, CASE WHEN idx > 0 THEN r * 65536 + g * 256 + b END AS c, {HEX} AS hex FROM px),
+        p AS (SELECT sprite_id, string_agg(hex, ',' ORDER BY c) AS palette FROM (SELECT DISTINCT sprite_id, c, hex FROM k WHERE c IS NOT NULL) u GROUP BY 1),
+        d AS (SELECT sprite_id, i, CASE WHEN c IS NULL THEN 0 ELSE dense_rank() OVER (PARTITION BY sprite_id ORDER BY c NULLS LAST) END AS v FROM k),
+        g AS (SELECT sprite_id, string_agg(CAST(v AS VARCHAR), '' ORDER BY i) AS grid FROM d GROUP BY 1)
+        SELECT g.sprite_id, coalesce(palette, '') AS palette, grid FROM g LEFT JOIN p ON p.sprite_id = g.sprite_id""",
+    "index_sprites_strict": f"""WITH {PX}, s AS (SELECT sprite_id, i, idx, CAST(greatest(0, least(248, round_even(r / 8.0::DOUBLE, 0) * 8)) AS INTEGER) AS r,
+            CAST(greatest(0, least(248, round_even(g / 8.0::DOUBLE, 0) * 8)) AS INTEGER) AS g, CAST(greatest(0, least(248, round_even(b / 8.0::DOUBLE, 0) * 8)) AS INTEGER) AS b FROM px),
+        k AS (SELECT sprite_id, i, CASE WHEN idx > 0 THEN r * 65536 + g * 256 + b END AS c, {HEX} AS hex FROM s),
+        p AS (SELECT sprite_id, string_agg(hex, ',' ORDER BY c) AS palette FROM (SELECT DISTINCT sprite_id, c, hex FROM k WHERE c IS NOT NULL) u GROUP BY 1),
+        d AS (SELECT sprite_id, i, CASE WHEN c IS NULL THEN 0 ELSE dense_rank() OVER (PARTITION BY sprite_id ORDER BY c NULLS LAST) END AS v FROM k),
+        g AS (SELECT sprite_id, string_agg(CAST(v AS VARCHAR), '' ORDER BY i) AS grid FROM d GROUP BY 1)
+        SELECT g.sprite_id, coalesce(palette, '') AS palette, grid FROM g LEFT JOIN p ON p.sprite_id = g.sprite_id""",
+    "partial_alpha": f"WITH {PX} SELECT sprite_id, count(*) FILTER (idx = 5) AS soft FROM px GROUP BY 1",
+    "tileset_tags": f"""WITH {SHEET(8)}, c16 AS (SELECT sheet, y // 16 AS row, x // 16 AS col, x, y, idx FROM sheet_px WHERE sheet % 2 = 0),
+        c32 AS (SELECT sheet, 0 AS row, 0 AS col, x, y, idx FROM sheet_px), b16 AS (SELECT sheet, row, col, avg(CASE WHEN idx > 0 THEN 0.0 ELSE 1.0 END) AS e, min(x) FILTER (idx > 0) AS x0, max(x) FILTER (idx > 0) AS x1,
+            min(y) FILTER (idx > 0) AS y0, max(y) FILTER (idx > 0) AS y1 FROM c16 GROUP BY 1, 2, 3),
+        b32 AS (SELECT sheet, row, col, avg(CASE WHEN idx > 0 THEN 0.0 ELSE 1.0 END) AS e, min(x) FILTER (idx > 0) AS x0, max(x) FILTER (idx > 0) AS x1, min(y) FILTER (idx > 0) AS y0, max(y) FILTER (idx > 0) AS y1 FROM c32 GROUP BY 1, 2, 3),
+        s16 AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY row, col) - 1 AS sprite_id FROM b16 WHERE e <= 0.95 AND x1 - x0 >= 7 AND y1 - y0 >= 7),
+        s32 AS (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY row, col) - 1 AS sprite_id FROM b32 WHERE e <= 0.95 AND x1 - x0 >= 7 AND y1 - y0 >= 7),
+        u AS (SELECT * FROM s16 UNION ALL SELECT * FROM s32 WHERE sheet NOT IN (SELECT sheet FROM s16))
+        SELECT sheet, sprite_id, CAST(x0 // 16 AS BIGINT) AS grid_x, CAST(y0 // 16 AS BIGINT) AS grid_y, CAST(x1 - x0 + 1 AS BIGINT) AS width, 'pending_spec_decision' AS edge_compatibility FROM u""",
     "hsv_darken": """WITH h AS (SELECT DISTINCT CAST(p_partkey * 7 % 360 AS DOUBLE) AS hue FROM part),
         c AS (SELECT hue, 0.5::DOUBLE AS c, 0.5::DOUBLE * (1 - abs(fmod(hue / 60.0::DOUBLE, 2.0::DOUBLE) - 1)) AS x, 0.5::DOUBLE AS m, CAST(floor(hue / 60.0::DOUBLE) AS INTEGER) AS k FROM h),
         t AS (SELECT hue, CAST(trunc((CASE k WHEN 0 THEN c WHEN 1 THEN x WHEN 4 THEN x WHEN 5 THEN c ELSE 0 END + m) * 255) AS BIGINT) AS r,

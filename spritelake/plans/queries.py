@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spritelake.functions import color, grids, kernels, rules
-from spritelake.operators import banding, cleaning, provenance, raster, similarity, splits, triage
+from spritelake.operators import banding, cleaning, indexing, provenance, raster, similarity, splits, triage
 from spritelake.plans import fixtures as fx
 from spritelake.streaming import harvest
 
@@ -125,6 +125,37 @@ def nearest_palette(spark, sf_dir):
     return found.select("pack", "idx", F.col("n.position").alias("position"), F.col("n.distance").alias("distance"))
 
 
+def _alpha_pixels(spark, sf_dir) -> DataFrame:
+    """Coloured pixels with an alpha: index 0 is transparent, index 5 is soft."""
+    alpha = F.when(F.col("idx") == 0, 0).when(F.col("idx") == 5, 140).otherwise(255)
+    return fx.pixels(fx.sprites(spark, sf_dir)).withColumn("a", alpha)
+
+
+@query
+def index_sprites(spark, sf_dir):
+    found = indexing.index_sprites(_alpha_pixels(spark, sf_dir), "sprite_id")
+    return found.select("sprite_id", F.array_join(indexing.hex_palette(F.col("palette")), ",").alias("palette"), F.array_join("index_grid", "").alias("grid"))
+
+
+@query
+def index_sprites_strict(spark, sf_dir):
+    found = indexing.index_sprites(_alpha_pixels(spark, sf_dir), "sprite_id", strict=True)
+    return found.select("sprite_id", F.array_join(indexing.hex_palette(F.col("palette")), ",").alias("palette"), F.array_join("index_grid", "").alias("grid"))
+
+
+@query
+def partial_alpha(spark, sf_dir):
+    return indexing.partial_alpha(_alpha_pixels(spark, sf_dir), "sprite_id")
+
+
+@query
+def tileset_tags(spark, sf_dir):
+    """Tiles of 16, and of 32 for the sheets that gave none, with their cells."""
+    px = fx.sheets(spark, sf_dir, 8)
+    tiles = indexing.with_retry(raster.grid_slice(px.filter("sheet % 2 = 0"), 16, 16, 32, 32), raster.grid_slice(px, 32, 32, 32, 32))
+    return indexing.tile_rows(tiles, 16).select("sheet", "sprite_id", "grid_x", "grid_y", "width", "edge_compatibility")
+
+
 @query
 def hsv_darken(spark, sf_dir):
     h = (F.col("p_partkey") * 7 % 360).cast("double")
