@@ -19,7 +19,8 @@ rows is no single task's work.
 Cases: a null source is a source of its own; a source without a weight, or with 0, waits until the
 others have run out; repeated ids keep their rows (rows that are equal in id take the order of
 their texts' hashes); a source of one row has one short block; an empty table gives no rows;
-columns of the input that are named like an added one must be renamed first.
+columns of the input are kept; names that begin with two underscores are reserved, and an input column
+named like an added one must be renamed before ``mixed``.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ TARGET_PHASES = 64
 MOST_SOURCES = 10_000
 #: Rows that one hash range of a source has at most, on average.
 RANGE_ROWS = 1000
+#: Places of the mixture that are dealt out together, and ranges whose places are broadcast.
+BUCKET_ROWS = 500
+BROADCAST_RANGES = 200_000
 
 
 def integer_parts(shares: dict, period: int) -> dict:
@@ -99,9 +103,9 @@ def phases(blocks: dict, weights: dict, period: int = PERIOD, most_target: int =
     return out
 
 
-def numbered(docs: DataFrame, id_col: str, source_col: str, tie: F.Column, range_rows: int) -> tuple[DataFrame, dict]:
-    """``docs`` with ``__source`` and ``__row``, each row's number within its source from 0, in
-    order of a hash of the id; and the rows of each source."""
+def ranges(docs: DataFrame, id_col: str, source_col: str, range_rows: int) -> tuple[DataFrame, DataFrame, dict]:
+    """``docs`` with ``__source``, ``__hash`` and ``__range``; for each source and range the rows of
+    the source in the ranges before it; and the rows of each source."""
     name = F.coalesce(F.concat(F.lit("s:"), F.col(source_col).cast("string")), F.lit("null"))
     rows = docs.withColumns({"__source": name, "__hash": F.xxhash64(F.col(id_col))})
     counts = rows.groupBy("__source").count().limit(MOST_SOURCES + 1).collect()  # bounded and checked
@@ -113,11 +117,50 @@ def numbered(docs: DataFrame, id_col: str, source_col: str, tie: F.Column, range
     rows = rows.withColumn("__range", high)
     parts = rows.groupBy("__source", "__range").agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__source").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("__source", "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    own = Window.partitionBy("__source", "__range").orderBy("__hash", F.col(id_col), tie)
-    ranked = rows.withColumn("__at", F.row_number().over(own) - 1)
-    joined = ranked.join(parts, ["__source", "__range"]).withColumn("__row", F.col("__at") + F.col("__before"))
-    return joined.drop("__at", "__hash", "__range", "__before"), sizes
+    return rows, parts.select("__source", "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")), sizes
+
+
+class Plan:
+    """The phases of a mixture as two tables of bounded size, whatever the number of rows."""
+
+    def __init__(self, spark, sizes: dict, weights: dict | None, power: float, block_rows: int, period: int):
+        blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
+        if weights is None:
+            weights = {s: n**power for s, n in sizes.items()}
+        else:
+            weights = {"null" if s is None else f"s:{s}": w for s, w in weights.items()}
+        spans, slots = [], []
+        for number, phase in enumerate(phases(blocks, weights, max(period, 2 * len(sizes)))):
+            length = sum(phase["parts"].values())
+            for s, p in phase["parts"].items():
+                before = phase["before"][s]
+                spans.append((s, number, before, before + p * phase["periods"], p, phase["slot"], length))
+            slots += [(s, number, j, at) for at, (s, j) in enumerate(pfair_period(phase["parts"]))]
+        self.block_rows = block_rows
+        self.spans = shared.literal_rows(spark, spans, "source string, phase int, first long, past long, part long, start long, length long")
+        self.slots = shared.literal_rows(spark, slots, "source string, phase int, j long, at long")
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (with ``__source`` and ``__row``) with ``__phase``, ``__block``, ``__release``,
+        ``__deadline``, ``__slot`` and ``__position``: arithmetic on the number of the block."""
+        rows = rows.withColumn("__block", F.floor(F.col("__row") / self.block_rows))
+        on = [F.col("__source") == F.col("p.source"), F.col("__block") >= F.col("p.first"), F.col("__block") < F.col("p.past")]
+        names = ("phase", "first", "part", "start", "length")
+        found = rows.join(F.broadcast(self.spans).alias("p"), on).select(rows["*"], *(F.col(f"p.{c}").alias(f"__{c}") for c in names))
+        since, part, length = F.col("__block") - F.col("__first"), F.col("__part"), F.col("__length")
+        found = found.withColumns({"__j": F.pmod(since, part), "__base": F.col("__start") + F.floor(since / part) * length})
+        on = [F.col("__source") == F.col("t.source"), F.col("__phase") == F.col("t.phase"), F.col("__j") == F.col("t.j")]
+        done = found.join(F.broadcast(self.slots).alias("t"), on).select(found["*"], F.col("t.at").alias("__at"))
+        base, j = F.col("__base"), F.col("__j")
+        done = done.withColumns({
+            "__release": (base + F.floor(j * length / part)).cast("long"), "__deadline": (base + F.ceil((j + 1) * length / part)).cast("long"),
+            "__slot": (base + F.col("__at")).cast("long"),
+        })
+        return done.withColumn("__position", F.col("__slot") * self.block_rows + F.pmod(F.col("__row"), F.lit(self.block_rows)))
+
+
+def _own_order(id_col: str, tie: F.Column | None, *keys: str):
+    return Window.partitionBy(*keys).orderBy("__hash", F.col(id_col), F.lit(0) if tie is None else tie)
 
 
 def mixed(
@@ -127,49 +170,30 @@ def mixed(
     """``docs`` with phase, block (of its source, from 0), release, deadline and slot (of the whole
     mixture), and mix_position (gapless but for the last block of each source). Without weights,
     a source's target is its number of rows to the power of ``power``."""
-    rows, sizes = numbered(docs, id_col, source_col, F.lit(0) if tie is None else tie, range_rows)
-    blocks = {s: -(-n // block_rows) for s, n in sizes.items()}
-    if weights is None:
-        weights = {s: n**power for s, n in sizes.items()}
-    else:
-        weights = {"null" if s is None else f"s:{s}": w for s, w in weights.items()}
-    table = []
-    for number, phase in enumerate(phases(blocks, weights, max(period, 2 * len(sizes)))):
-        length = sum(phase["parts"].values())
-        for at, (s, j) in enumerate(pfair_period(phase["parts"])):
-            p, before = phase["parts"][s], phase["before"][s]
-            table.append((s, number, before, before + p * phase["periods"], p, j, at, phase["slot"], length))
-    spark = docs.sparkSession
-    schema = "source string, phase int, first long, past long, part long, j long, at long, start long, length long"
-    plan = shared.literal_rows(spark, table, schema)  # phases times period rows, whatever the input
-    number = F.floor(F.col("__row") / block_rows)
-    rows = rows.withColumn("__block", number)
-    # The phase of a block, and its place in the period, are arithmetic on its number.
-    spans = F.broadcast(plan.select("source", "phase", "first", "past", "part", "start", "length").distinct())
-    on = [F.col("__source") == F.col("p.source"), F.col("__block") >= F.col("p.first"), F.col("__block") < F.col("p.past")]
-    placed = rows.join(spans.alias("p"), on).select(
-        rows["*"], *(F.col(f"p.{c}").alias(f"__{c}") for c in ("phase", "first", "part", "start", "length"))
-    )
-    placed = placed.withColumns({
-        "__j": F.pmod(F.col("__block") - F.col("__first"), F.col("__part")),
-        "__period": F.floor((F.col("__block") - F.col("__first")) / F.col("__part")),
-    })
-    slots = F.broadcast(plan.select("source", "phase", "j", "at"))
-    on = [F.col("__source") == F.col("t.source"), F.col("__phase") == F.col("t.phase"), F.col("__j") == F.col("t.j")]
-    done = placed.join(slots.alias("t"), on).select(placed["*"], F.col("t.at").alias("__at"))
-    base = F.col("__start") + F.col("__period") * F.col("__length")
-    j, part, length = F.col("__j"), F.col("__part"), F.col("__length")
-    return done.select(
-        *(F.col(f"`{c}`") for c in docs.columns),
-        F.col("__phase").alias("phase"), F.col("__block").cast("long").alias("block"),
-        (base + F.floor(j * length / part)).cast("long").alias("release"),
-        (base + F.ceil((j + 1) * length / part)).cast("long").alias("deadline"),
-        (base + F.col("__at")).cast("long").alias("slot"),
-        ((base + F.col("__at")) * block_rows + F.pmod(F.col("__row"), F.lit(block_rows))).cast("long").alias("mix_position"),
-    )
-
-
-def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows and columns of ``docs``, written in the order of their places in the mixture."""
-    placed = mixed(docs, **options)
-    return placed.repartitionByRange("mix_position").sortWithinPartitions("mix_position").select(*(f"`{c}`" for c in docs.columns))
+    rows, parts, sizes = ranges(docs, id_col, source_col, range_rows)
+    rank = F.row_number().over(_own_order(id_col, tie, "__source", "__range")) - 1
+    rows = rows.withColumn("__rank", rank).join(parts, ["__source", "__range"]).withColumn("__row", F.col("__rank") + F.col("__before"))
+    placed = Plan(docs.sparkSession, sizes, weights, power, block_rows, period).placed(rows)
+    names = ("phase", "block", "release", "deadline", "slot")
+    return placed.select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"__{n}").alias(n) for n in names), F.col("__position").alias("mix_position"))
+
+
+def in_mixed_order(
+    docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", source_col: str = "source", power: float = 0.5,
+    block_rows: int = BLOCK_ROWS, period: int = PERIOD, range_rows: int = RANGE_ROWS, tie: F.Column | None = None,
+) -> DataFrame:
+    """The rows and columns of ``docs``, each file in the order of the places in the mixture.
+
+    Whole rows are shuffled once. Where a range of a source begins in the mixture is known from
+    counts alone, so rows are dealt by that place, whole ranges together; the rank within a range,
+    and so the exact place, is found after that shuffle. Files overlap by a range at most."""
+    rows, parts, sizes = ranges(docs, id_col, source_col, range_rows)
+    plan = Plan(docs.sparkSession, sizes, weights, power, block_rows, period)
+    begins = plan.placed(parts.withColumn("__row", F.col("__before")))
+    begins = shared.stored(begins.select("__source", "__range", "__before", F.floor(F.col("__position") / BUCKET_ROWS).alias("__bucket")), "range_places")
+    if begins.count() <= BROADCAST_RANGES:
+        begins = F.broadcast(begins)
+    dealt = rows.join(begins, ["__source", "__range"]).repartition("__bucket")
+    rank = F.row_number().over(_own_order(id_col, tie, "__bucket", "__source", "__range")) - 1
+    placed = plan.placed(dealt.withColumn("__row", rank + F.col("__before")))
+    return placed.sortWithinPartitions("__position").select(*(F.col(f"`{c}`") for c in docs.columns))
