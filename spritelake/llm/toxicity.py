@@ -1,6 +1,6 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic model over the words of a text is fitted so that swapping an identity term for another
+A logistic model over the words of a text, and how often words begin alike, is fitted so that swapping an identity term for another
 of its kind leaves the score alone. Each labelled text that mentions a group gets a twin with the
 terms swapped; the loss adds ``fairness`` times the mean squared change of the log-odds between
 the two. A neutral mention of a group then carries no weight of its own, and a text is judged by
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,9 @@ MOST_WORDS = 512
 LEAST_TEXTS = 5
 LEAST_RATIO = 10.83
 RIDGE = 1.0
+#: Lengths of the word beginnings that count as features, and how often they must occur.
+PREFIXES = (5, 7)
+TIMES = (1, 2, 4)
 FAIRNESS = 50.0
 CHUNK = 4 << 20
 
@@ -62,6 +66,7 @@ IDENTITY = [
 ]
 
 _WORD = re.compile(r"[^\W\d_]+")
+_SPACE = re.compile(rb"\s")
 
 
 def swaps() -> dict[str, str]:
@@ -74,33 +79,53 @@ def swaps() -> dict[str, str]:
     return out
 
 
-def words(text: bytes) -> set[str]:
-    """The distinct lower-cased words of a whole text."""
-    out: set[str] = set()
+def words(text: bytes) -> Counter:
+    """The lower-cased words of a whole text and how often each occurs."""
+    out: Counter = Counter()
     at = 0
     while at < len(text):
         end = len(text)
-        if end - at > CHUNK and (found := re.compile(rb"\s").search(text, at + CHUNK)):
+        if end - at > CHUNK and (found := _SPACE.search(text, at + CHUNK)):
             end = found.start()
         out.update(_WORD.findall(text[at:end].decode("utf-8", "replace").lower()))
         at = end
     return out
 
 
+def prefix_counts(counts: Counter, wanted: frozenset[str] | None = None) -> Counter:
+    """How often words begin with each prefix (of those that are wanted)."""
+    out: Counter = Counter()
+    for w, k in counts.items():
+        for n in PREFIXES:
+            if len(w) >= n and (wanted is None or w[:n] in wanted):
+                out[w[:n]] += k
+    return out
+
+
+def features(counts: Counter, wanted: frozenset[str] | None = None) -> set[str]:
+    """Words, and for each prefix whether it occurs at least once, twice and four times."""
+    out = set(counts)
+    for p, k in prefix_counts(counts, wanted).items():
+        out.update(f"^{n}{p}" for n in TIMES if k >= n)
+    return out
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(words(batch.column(0)[i].as_buffer().to_pybytes())) for i in range(batch.num_rows)]
+        found = [sorted(features(words(batch.column(0)[i].as_buffer().to_pybytes()))) for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.string()))], ["toxic", "words"])
 
 
 class Model:
-    """Weights of words and an intercept."""
+    """Weights of features and an intercept."""
 
     def __init__(self, weights: dict[str, float], intercept: float):
         self.weights, self.intercept = weights, intercept
+        self.prefixes = frozenset(w[2:] for w in weights if w[0] == "^")
 
     def score(self, text: bytes) -> float:
-        z = self.intercept + sum(sorted(self.weights[w] for w in words(text) & self.weights.keys()))
+        found = features(words(text), getattr(self, "prefixes", frozenset()))
+        z = self.intercept + sum(sorted(self.weights[w] for w in found & self.weights.keys()))
         return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
 
 
@@ -158,7 +183,9 @@ def fit(
     counts = counts.agg(F.sum("toxic").alias("a"), F.count("*").alias("total")).filter(F.col("total") >= LEAST_TEXTS)
     chosen = counts.withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "word").limit(most_words)
     swap = swaps()
-    names = sorted({r.word for r in chosen.select("word").collect()} | swap.keys())
+    # A beginning of an identity term would carry what the term itself may not.
+    hidden = features(Counter({w: max(TIMES) for w in swap})) - swap.keys()
+    names = sorted(({r.word for r in chosen.select("word").collect()} - hidden) | swap.keys())
     place = {w: i for i, w in enumerate(names)}
     kept = rows.select("toxic", F.array_intersect("words", F.array(*map(F.lit, names))).alias("words")).toLocalIterator()
     y, lists = [], []

@@ -239,6 +239,7 @@ def test_toxicity(spark, nothing):
     out = toxicity.scored(df, fair)
     assert out.columns == [*df.columns, "__score"] or out.columns.count("__score") == 2
     assert toxicity.fit(df, marks.limit(0)).score(b"vile") < 0.3 and toxicity.fit(nothing, marks).score(b"x") < 0.3
+    assert toxicity.features(toxicity.words("Abcdef abcdefgh abcdex x".encode())) == {"abcdef", "abcdefgh", "abcdex", "x", "^1abcde", "^2abcde", "^1abcdefg"}
     held = spark.range(50).select("id", toxicity.held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in held)
 
