@@ -250,6 +250,9 @@ def near_duplicates(
     firsts = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = linked.join(firsts, "root").select("fp", "component_id")
     named = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first").alias("component_id"))
+    # Read from a table, so that the join below stands right above its shuffles and Spark can split
+    # the rows of a fingerprint that very many copies share.
+    named = shared.stored(named, "named")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -266,5 +269,6 @@ def deduplicated(
     found = near_duplicates(docs, id_col, text_col, shingle, distance)
     keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
     keep = shared.stored(keep, "kept_ids")
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["__id"]), "left_semi")
+    # By a shuffle at every size: the kept ids grow with the input. Only they are held in memory.
+    kept = docs.join(keep.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(keep["__id"]), "left_semi")
     return kept.dropDuplicates([id_col]) if keep.filter("__n > 1").limit(1).count() else kept
