@@ -8,9 +8,9 @@ target.
 
 Weights are integer parts of a period. The windows of such weights repeat with the period, and so
 does the schedule: one period of it is made on the driver (its length is a bounded parameter),
-and a block's slot is plain arithmetic on its number. When a source runs out, a new phase begins
-with the shares of the others, and at last with the shares of what is left, until all rows are
-placed: no row is dropped or repeated.
+and a block's slot is plain arithmetic on its number. When a source runs out, be it within a
+period, a new phase begins with the shares of the others, and at last with the shares of what is
+left, until all rows are placed: no row is dropped or repeated.
 
 Everything on the executors is DataFrame operations. Row numbers within a source are counted in
 two levels, within hash ranges of the id and over these ranges, so a source with a third of all
@@ -79,27 +79,41 @@ def pfair_period(parts: dict) -> list[tuple]:
 def phases(blocks: dict, weights: dict, period: int = PERIOD, most_target: int = TARGET_PHASES) -> list[dict]:
     """The phases of a mixture: first slot, parts, blocks of each source before it, periods.
 
-    While targets hold, a phase ends when a source runs out, and the next renews the shares of
-    those that are left. After ``most_target`` phases, or when only sources without a weight are
-    left, shares follow what is left; the last phase takes it exactly."""
-    left, done, slot, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
-    while total := sum(left.values()):
-        target = {s: weights.get(s, 0) for s, n in left.items() if n and weights.get(s, 0) > 0}
-        parts, periods = {}, 0
-        if target and len(out) < most_target:
-            parts = {s: p for s, p in integer_parts(target, period).items() if p}
-            periods = min(left[s] // p for s, p in parts.items())
-        if not periods:
-            weights = {}
-            exact = total <= period
-            parts = {s: n if exact else n * period // total for s, n in left.items()}
-            parts = {s: p for s, p in parts.items() if p}
-            periods = min(left[s] // p for s, p in parts.items())
-        out.append({"slot": slot, "parts": parts, "before": dict(done), "periods": periods})
+    Whole periods run while every source has its part left; then a cut period, a phase of its own
+    with ``whole`` (the parts it is cut from) and ``order``, runs up to the slot whose source has
+    nothing left. The next phase renews the shares of the others. Only when sources without a
+    weight are left, or after ``most_target`` cut periods, shares follow what is left; the last
+    phase takes it exactly."""
+    left, done, slot, cuts, out = dict(blocks), dict.fromkeys(blocks, 0), 0, 0, []
+
+    def add(parts: dict, periods: int, **more) -> None:
+        nonlocal slot
+        out.append({"slot": slot, "parts": parts, "before": dict(done), "periods": periods, **more})
         for s, p in parts.items():
             left[s] -= p * periods
             done[s] += p * periods
         slot += sum(parts.values()) * periods
+
+    while total := sum(left.values()):
+        target = {s: weights.get(s, 0) for s, n in left.items() if n and weights.get(s, 0) > 0}
+        if target and cuts < most_target:
+            parts = {s: p for s, p in integer_parts(target, period).items() if p}
+            if periods := min(left[s] // p for s, p in parts.items()):
+                add(parts, periods)
+            if all(left[s] for s in parts):
+                order, taken = [], dict.fromkeys(parts, 0)
+                for s, j in pfair_period(parts):
+                    if taken[s] == left[s]:
+                        break
+                    taken[s] += 1
+                    order.append((s, j))
+                add({s: n for s, n in taken.items() if n}, 1, whole=parts, order=order)
+            cuts += 1
+            continue
+        exact = total <= period
+        parts = {s: n if exact else n * period // total for s, n in left.items()}
+        parts = {s: p for s, p in parts.items() if p}
+        add(parts, min(left[s] // p for s, p in parts.items()))
     return out
 
 
@@ -131,11 +145,12 @@ class Plan:
             weights = {"null" if s is None else f"s:{s}": w for s, w in weights.items()}
         spans, slots = [], []
         for number, phase in enumerate(phases(blocks, weights, max(period, 2 * len(sizes)))):
-            length = sum(phase["parts"].values())
+            whole = phase.get("whole", phase["parts"])
+            length = sum(whole.values())
             for s, p in phase["parts"].items():
                 before = phase["before"][s]
-                spans.append((s, number, before, before + p * phase["periods"], p, phase["slot"], length))
-            slots += [(s, number, j, at) for at, (s, j) in enumerate(pfair_period(phase["parts"]))]
+                spans.append((s, number, before, before + p * phase["periods"], whole[s], phase["slot"], length))
+            slots += [(s, number, j, at) for at, (s, j) in enumerate(phase.get("order") or pfair_period(whole))]
         self.block_rows = block_rows
         self.spans = shared.literal_rows(spark, spans, "source string, phase int, first long, past long, part long, start long, length long")
         self.slots = shared.literal_rows(spark, slots, "source string, phase int, j long, at long")

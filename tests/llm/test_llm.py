@@ -348,6 +348,30 @@ def test_phases_place_every_block(sources):
     assert placed == blocks
 
 
+def slots_of(phases):
+    """The source of each slot."""
+    out = []
+    for phase in phases:
+        order = phase.get("order") or mixing.pfair_period(phase["parts"])
+        out += [s for s, _ in order] * phase["periods"]
+    return out
+
+
+def test_targets_hold_until_a_source_runs_out():
+    blocks, weights = {"a": 400, "b": 100, "c": 140}, {"a": 1, "b": 1, "c": 2}  # fewer than a period
+    left = dict(blocks)
+    share = {s: w / sum(weights.values()) for s, w in weights.items()}
+    start, taken, seen = 0, dict.fromkeys(blocks, 0), 0
+    for at, s in enumerate(slots_of(mixing.phases(blocks, weights)), 1):
+        left[s] -= 1
+        taken[s] += 1
+        assert all(abs(taken[x] - (at - start) * w) < 1.5 for x, w in share.items())
+        if not left[s] and any(left.values()):  # the others share the rest by their own weights
+            rest = {x: weights[x] for x, n in left.items() if n}
+            share, start, taken, seen = {x: w / sum(rest.values()) for x, w in rest.items()}, at, dict.fromkeys(blocks, 0), seen + 1
+    assert seen == 2 and not any(left.values())
+
+
 def test_warc(spark):
     html = "<p>" + "x" * 200
     pages = [(3, "http://a/1", html), (1, "http://a/2\r\nX: y", html), (2, None, "short"), (5, "http://b", "short"), (4, "u", None), (6, "u", "é" * 99), (1, "again", html), (None, "n", html)]
