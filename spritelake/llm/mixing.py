@@ -41,7 +41,7 @@ TARGET_PHASES = 64
 MOST_SOURCES = 10_000
 #: Rows that one hash range of a source has at most, on average.
 RANGE_ROWS = 1000
-#: Places of the mixture that are dealt out together, and ranges whose places are broadcast.
+#: Places of the mixture that are dealt out together, and their begins in ranges that are broadcast.
 BUCKET_ROWS = 500
 BROADCAST_RANGES = 200_000
 
@@ -199,16 +199,26 @@ def in_mixed_order(
 ) -> DataFrame:
     """The rows and columns of ``docs``, each file in the order of the places in the mixture.
 
-    Whole rows are shuffled once. Where a range of a source begins in the mixture is known from
-    counts alone, so rows are dealt by that place, whole ranges together; the rank within a range,
-    and so the exact place, is found after that shuffle. Files overlap by a range at most."""
+    Whole rows are shuffled once, dealt by ranges of buckets of places. The places of all rows are
+    first found from source and hash alone; where a bucket begins within a range of a source is
+    kept as a hash, by which whole rows find their buckets. The rank within a bucket, and so the
+    exact place, is found after that shuffle. Files follow each other in the mixture: they overlap
+    only where rows of one source have one hash, which stay together."""
     rows, parts, sizes = ranges(docs, id_col, source_col, range_rows)
     plan = Plan(docs.sparkSession, sizes, weights, power, block_rows, period)
-    begins = plan.placed(parts.withColumn("__row", F.col("__before")))
-    begins = shared.stored(begins.select("__source", "__range", "__before", F.floor(F.col("__position") / BUCKET_ROWS).alias("__bucket")), "range_places")
-    if begins.count() <= BROADCAST_RANGES:
+    rank = F.rank().over(Window.partitionBy("__source", "__range").orderBy("__hash")) - 1
+    narrow = rows.select("__source", "__range", "__hash").withColumn("__rank", rank).join(parts, ["__source", "__range"])
+    places = plan.placed(narrow.withColumn("__row", F.col("__rank") + F.col("__before")))
+    begins = places.groupBy("__source", "__range", F.floor(F.col("__position") / BUCKET_ROWS).alias("bucket"))
+    begins = begins.agg(F.min("__hash").alias("hash"), F.min("__row").alias("before"))
+    begins = begins.groupBy("__source", "__range").agg(F.array_sort(F.collect_list(F.struct("hash", "before", "bucket"))).alias("__begins"))
+    begins = shared.stored(begins, "range_places")
+    if (begins.agg(F.sum(F.size("__begins"))).first()[0] or 0) <= BROADCAST_RANGES:
         begins = F.broadcast(begins)
-    dealt = rows.join(begins, ["__source", "__range"]).repartition("__bucket")
+    found = F.element_at(F.filter("__begins", lambda b: b["hash"] <= F.col("__hash")), -1)
+    dealt = rows.join(begins, ["__source", "__range"]).withColumn("__begin", found)
+    dealt = dealt.withColumns({"__before": F.col("__begin.before"), "__bucket": F.col("__begin.bucket")}).drop("__begins", "__begin")
+    dealt = dealt.repartitionByRange("__bucket")
     rank = F.row_number().over(_own_order(id_col, tie, "__bucket", "__source", "__range")) - 1
     placed = plan.placed(dealt.withColumn("__row", rank + F.col("__before")))
     return placed.sortWithinPartitions("__position").select(*(F.col(f"`{c}`") for c in docs.columns))

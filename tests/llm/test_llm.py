@@ -348,6 +348,21 @@ def test_phases_place_every_block(sources):
     assert placed == blocks
 
 
+def test_files_follow_each_other_in_the_mixture(spark, tmp_path):
+    sizes = {"a": 6000, "b": 900, "c": 90, None: 300}
+    data = [(i, s, "x") for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))] + [(7, "a", "y")] * 3
+    df = spark.createDataFrame(data, "doc_id long, source string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixing.in_mixed_order(df).write.parquet(str(tmp_path / "mixed"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "mixed").glob("part-*"))
+    got = [r for f in files for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+    want = mixing.mixed(df, tie=F.xxhash64("text")).orderBy("mix_position").collect()
+    assert len(files) > 2 and [r.doc_id for r in got] == [r.doc_id for r in want]
+
+
 def slots_of(phases):
     """The source of each slot."""
     out = []
