@@ -755,7 +755,7 @@ def rollback_scope(spark, sf_dir):
 @query
 def reduce_palette(spark, sf_dir):
     """Palettes of more than 15 colours merged down, by both published variants."""
-    rows = _bins(spark, sf_dir).filter(F.size("palette") > 20).withColumn("p", F.slice(F.array_sort(F.transform("palette", lambda v: F.abs(v * 70001) % 16777216)), 1, 24))
+    rows = _bins(spark, sf_dir).filter(F.size("palette") > 15).withColumn("p", F.array_sort(F.transform("palette", lambda v: F.abs(v * 70001) % 16777216)))
     kept = [kernels.palette_reducer(15, each)("p") for each in (False, True)]
     return rows.select("sprite_id", F.size("p").alias("colors"), F.array_join(kept[0], ",").alias("merged"), F.array_join(kept[1], ",").alias("snapped"))
 

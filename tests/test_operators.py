@@ -235,3 +235,27 @@ def test_breaker_and_cells(spark):
     assert tuple(cleaning.breaker(rows, "id", F.col("bad"), 5).first()) == (31, 31, 2)
     px = spark.createDataFrame([(0, 0, 0, True), (0, 9, 9, False)], "sheet long, x int, y int, filled boolean")
     assert {(r.row, r.col) for r in raster.empty_cells(px, 8, 2, 2).collect()} == {(0, 1), (1, 0), (1, 1)}
+
+
+def test_reduce_palette_merges_whole_palettes(spark, tmp_path):
+    from spritelake.plans import queries
+
+    sizes = {1: 15, 2: 16, 3: 20, 4: 21, 5: 24, 6: 43}
+    rows = [(i, 0, [k * 0.01 + 0.005 for k in range(n)]) for i, n in sizes.items()]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = {r.sprite_id: r for r in queries.QUERIES["reduce_palette"](spark, str(tmp_path)).collect()}
+    assert sorted(got) == [2, 3, 4, 5, 6]
+
+    def slow(packed, each):
+        pal = [(p >> 16, p >> 8 & 255, p & 255) for p in packed]
+        while len(pal) > 15:
+            _, i, j = min((sum((x - y) ** 2 for x, y in zip(pal[i], pal[j], strict=True)), i, j) for i in range(len(pal)) for j in range(i + 1, len(pal)))
+            pal[i] = tuple((x + y) // 2 for x, y in zip(pal[i], pal.pop(j), strict=True))
+            if each:
+                pal[i] = tuple(min(248, round(x / 8) * 8) for x in pal[i])
+        return ",".join(str(r << 16 | g << 8 | b) for r, g, b in (dict.fromkeys(pal) if each else pal))
+
+    for i, r in got.items():
+        packed = sorted(int(np.floor((np.float64(np.float32(x)) + 0.6) * 100)) * 70001 % 16777216 for x in rows[i - 1][2])
+        packed = list(dict.fromkeys(packed))
+        assert r.colors == sizes[i] == len(packed) and (r.merged, r.snapped) == (slow(packed, False), slow(packed, True))
