@@ -27,10 +27,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import shared
 
@@ -239,13 +241,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def linked_prints(docs: DataFrame, id_col: str, text_col: str, shingle: int, distance: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The fingerprint of each row; (fp, first), with the smallest id of each fingerprint; and
+    (node, root) of the fingerprints that link with others."""
+    prints = shared.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    return prints, nodes, shared.stored(components(links(nodes.select("fp"), distance)), "roots")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
 ) -> DataFrame:
     """One row a document: doc_id, fp (signed), component_id (the smallest id that its links reach)."""
-    prints = shared.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = shared.stored(components(links(nodes.select("fp"), distance)), "roots")
+    prints, nodes, roots = linked_prints(docs, id_col, text_col, shingle, distance)
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     firsts = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     linked = linked.join(firsts, "root").select("fp", "component_id")
@@ -261,14 +269,32 @@ def hexadecimal(column: str) -> F.Column:
     return F.lpad(F.lower(F.hex(column)), 16, "0")
 
 
+@F.pandas_udf(T.LongType())
+def _fingerprint_of(text: pd.Series, shingle: pd.Series) -> pd.Series:
+    found = [fingerprint(bytes(t), int(n)) for t, n in zip(text, shingle, strict=True)]
+    return pd.Series(np.array(found, np.uint64).view(np.int64))
+
+
 def deduplicated(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE,
 ) -> DataFrame:
-    """``docs`` with one row of each component: that with the smallest id. Rows of one id count as
-    one document, of which a row stays."""
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
-    keep = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"))
-    keep = shared.stored(keep, "kept_ids")
+    """``docs`` with one row of each component: that with the smallest id, or one without id if no
+    row of the component has an id. Rows that share an id, or have none, count as one document only
+    where their texts link."""
+    prints, nodes, roots = linked_prints(docs, id_col, text_col, shingle, distance)
+    pairs = shared.stored(prints.groupBy("fp", "doc_id").agg(F.count("*").alias("n")), "ids_of_fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "n")).alias("f")
+    firsts = pairs.groupBy("fp").agg(first).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    least = F.min(F.struct("f.none", "f.doc_id", "fp", "f.n")).alias("k")
+    keep = firsts.groupBy(F.coalesce("root", "fp").alias("root")).agg(least)
+    keep = shared.stored(keep.select(F.col("k.doc_id").alias("__id"), F.col("k.fp").alias("__kept_fp"), F.col("k.n").alias("__n")), "kept_ids")
+    on, same, rows = docs[id_col].cast("long").eqNullSafe(keep["__id"]), [id_col], docs
+    if pairs.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        # An id alone does not tell the rows apart: their fingerprints are found again.
+        shared.ship(docs.sparkSession)
+        rows = docs.withColumn("__fp", _fingerprint_of(shared.utf8(text_col), F.lit(shingle)))
+        on, same = rows[id_col].cast("long").eqNullSafe(keep["__id"]) & (rows["__fp"] == keep["__kept_fp"]), [id_col, "__fp"]
     # By a shuffle at every size: the kept ids grow with the input. Only they are held in memory.
-    kept = docs.join(keep.hint("shuffle_hash"), docs[id_col].cast("long").eqNullSafe(keep["__id"]), "left_semi")
-    return kept.dropDuplicates([id_col]) if keep.filter("__n > 1").limit(1).count() else kept
+    kept = rows.join(keep.hint("shuffle_hash"), on, "left_semi")
+    kept = kept.dropDuplicates(same) if keep.filter("__n > 1").limit(1).count() else kept
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -143,6 +143,17 @@ def test_simhash_equals_brute_force(spark, docs, nothing):
     assert simhash.near_duplicates(nothing).count() == 0 and simhash.deduplicated(nothing).count() == 0
 
 
+def test_rows_without_id_stay_unless_their_texts_link(spark):
+    base, other = prose(9, 400), prose(50, 80)
+    near = base.replace(base.split()[200], "zzz", 1)
+    assert 0 < (slow_print(base.encode()) ^ slow_print(near.encode())).bit_count() <= 3
+    data = [(None, prose(51, 80)), (None, prose(52, 80)), (None, prose(53, 80)), (None, prose(53, 80)), (5, base), (None, near), (7, other), (7, prose(54, 80)), (7, other), (9, near)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    kept = simhash.deduplicated(df)
+    want = [(0, prose(51, 80)), (0, prose(52, 80)), (0, prose(53, 80)), (5, base), (7, other), (7, prose(54, 80))]
+    assert kept.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(want)
+
+
 def slow_print(text):
     import xxhash
 
