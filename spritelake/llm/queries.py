@@ -82,6 +82,44 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op9_mixing": """
+        WITH RECURSIVE
+        n AS (SELECT coalesce('s:' || source, 'null') AS s, (count(*) + 15) // 16 AS blocks FROM documents GROUP BY 1),
+        w AS (SELECT s, blocks, CAST(ceil(round(100 * power(blocks / CAST((SELECT max(blocks) FROM n) AS DOUBLE), 0.5), 6)) AS BIGINT) AS w FROM n),
+        step AS (
+            SELECT CAST(-1 AS BIGINT) AS slot, CAST(0 AS BIGINT) AS phase, CAST(0 AS BIGINT) AS start,
+                   list(struct_pack(s := s, w := w, n := blocks, before := CAST(0 AS BIGINT), k := CAST(0 AS BIGINT)) ORDER BY s) AS st,
+                   CAST(NULL AS STRUCT(d BIGINT, r BIGINT, s VARCHAR, b BIGINT)) AS pick, CAST(0 AS BIGINT) AS was_phase, CAST(0 AS BIGINT) AS was_start
+            FROM w HAVING count(*) > 0
+            UNION ALL
+            SELECT slot, CASE WHEN over THEN phase + 1 ELSE phase END, CASE WHEN over THEN slot + 1 ELSE start END,
+                   CASE WHEN over THEN list_transform(list_filter(next, lambda x: x.n > 0),
+                        lambda x: struct_pack(s := x.s, w := x.w, n := x.n, before := x.before + x.k, k := CAST(0 AS BIGINT))) ELSE next END,
+                   pick, phase, start
+            FROM (
+                SELECT *, len(list_filter(next, lambda x: x.n = 0)) > 0 AS over
+                FROM (
+                    SELECT slot, phase, start, pick, list_transform(st, lambda x: CASE WHEN x.s = pick.s
+                        THEN struct_pack(s := x.s, w := x.w, n := x.n - 1, before := x.before, k := x.k + 1) ELSE x END) AS next
+                    FROM (
+                        SELECT slot + 1 AS slot, phase, start, st, list_sort(list_transform(
+                                list_filter(st, lambda x: (x.k * total) // x.w <= slot + 1 - start),
+                                lambda x: struct_pack(d := ((x.k + 1) * total + x.w - 1) // x.w, r := (x.k * total) // x.w, s := x.s, b := x.before + x.k)
+                            ))[1] AS pick
+                        FROM (SELECT *, CAST(list_sum(list_transform(st, lambda x: x.w)) AS BIGINT) AS total FROM step WHERE len(st) > 0)
+                    )
+                )
+            )
+        ),
+        d AS (
+            SELECT doc_id, source, coalesce('s:' || source, 'null') AS s,
+                   row_number() OVER (PARTITION BY source ORDER BY substr(md5(CAST(doc_id AS VARCHAR)), 1, 15), doc_id) - 1 AS r
+            FROM documents
+        )
+        SELECT doc_id, source, CAST(was_phase AS INTEGER) AS phase, pick.b AS block, was_start + pick.r AS release,
+               was_start + pick.d AS deadline, slot, slot * 16 + r % 16 AS mix_position
+        FROM d JOIN step ON step.pick.s = d.s AND step.pick.b = d.r // 16
+    """,
     "op10_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
         f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) ELSE page_id END AS first FROM p)
