@@ -1,10 +1,12 @@
 """Toxicity by a counterfactually regularised classifier.
 
-A logistic model over the words of a text, and how often words begin alike, is fitted so that swapping an identity term for another
-of its kind leaves the score alone. Each labelled text that mentions a group gets a twin with the
-terms swapped; the loss adds ``fairness`` times the mean squared change of the log-odds between
-the two. A neutral mention of a group then carries no weight of its own, and a text is judged by
-what it says about the group.
+A logistic model over the words of a text, and how often words begin alike, is fitted so that
+identity terms leave the score alone. Each labelled text that mentions a group gets two
+counterfactual twins: one with each term swapped for the next of its kind and language, one with the
+terms neutralised (left out). The loss adds ``fairness`` times the mean squared change of the
+log-odds between a text and its twins. The swap alone would only give all groups the same
+weight, which may be a large one where groups are mostly mentioned in toxic texts; the neutral
+twin draws that weight to zero, so a neutral mention is judged by the words around it.
 
 The fit sees at most ``most_labelled`` labelled texts, chosen by a hash of their ids; word counts
 and the choice of words cover all of these. Only the fitted weights (at most ``most_words`` and
@@ -13,7 +15,8 @@ the identity terms) go to the executors. Every whole text is scored.
 Cases: a null, empty or wordless text has the score that the intercept gives; ids that are
 labelled twice count once, as toxic if either label is; a null label is no label; no labels at
 all, or labels of one class, give a constant score; repeated rows are scored alike; a null id is
-not held out; an empty table gives no rows; other columns are not read.
+not held out; an empty table gives no rows; very long texts are read in pieces, whole; no other
+column is read, whatever its name.
 """
 
 from __future__ import annotations
@@ -25,12 +28,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import shared
 
 THRESHOLD = 0.3
+SCORE = "__score"
 MOST_LABELLED = 6000
 MOST_WORDS = 512
 #: Texts that must have a word, and the likelihood ratio that it must reach, to count as a feature.
@@ -65,54 +71,83 @@ IDENTITY = [
     "inmigrantes refugiados extranjeros migrantes",
 ]
 
-_WORD = re.compile(r"[^\W\d_]+")
 _SPACE = re.compile(rb"\s")
 
 
-def swaps() -> dict[str, str]:
-    """Each identity term and the next one of its line."""
-    out: dict[str, str] = {}
+def lines_of() -> dict[str, list[list[str]]]:
+    """Each identity term and the lines that have it (some are written alike in two languages)."""
+    out: dict[str, list[list[str]]] = {}
     for line in IDENTITY:
         terms = line.split()
-        for a, b in zip(terms, terms[1:] + terms[:1], strict=True):
-            out.setdefault(a, b)
+        for term in terms:
+            out.setdefault(term, []).append(terms)
     return out
 
 
-def words(text: bytes) -> Counter:
-    """The lower-cased words of a whole text and how often each occurs."""
-    out: Counter = Counter()
+def swapped(found: set[str], lines: dict[str, list[list[str]]]) -> set[str]:
+    """The words of a text with each identity term swapped for the next of its line; of several
+    lines, the one that has most of the text's terms."""
+    out = set()
+    for w in found:
+        if w in lines:
+            line = max(lines[w], key=lambda terms: len(found.intersection(terms)))
+            w = line[(line.index(w) + 1) % len(line)]
+        out.add(w)
+    return out
+
+
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A text in pieces of bounded size, cut at white space."""
     at = 0
     while at < len(text):
         end = len(text)
         if end - at > CHUNK and (found := _SPACE.search(text, at + CHUNK)):
             end = found.start()
-        out.update(_WORD.findall(text[at:end].decode("utf-8", "replace").lower()))
+        yield text[at:end]
         at = end
-    return out
 
 
-def prefix_counts(counts: Counter, wanted: frozenset[str] | None = None) -> Counter:
-    """How often words begin with each prefix (of those that are wanted)."""
-    out: Counter = Counter()
-    for w, k in counts.items():
-        for n in PREFIXES:
-            if len(w) >= n and (wanted is None or w[:n] in wanted):
-                out[w[:n]] += k
-    return out
+def tokenised(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+    """The words (runs of letters, lower-cased) of whole texts, and the text that each is in."""
+    pieces, owners = [], []
+    for i, text in enumerate(texts):
+        for piece in _pieces(text):
+            pieces.append(piece)
+            owners.append(i)
+    low = pc.utf8_lower(pa.array(pieces, pa.large_binary()).cast(pa.large_string()))
+    owner, found = _split(np.array(owners, np.int64), low)
+    # Most words stand between blanks; only the others need the pattern.
+    plain = pc.utf8_is_alpha(found).to_numpy(zero_copy_only=False)
+    rest = found.filter(pa.array(~plain))
+    more, mixed = _split(owner[~plain], pc.replace_substring_regex(rest, r"[^\p{L}]+", " "))
+    filled = pc.utf8_is_alpha(mixed).to_numpy(zero_copy_only=False)
+    words = pa.concat_arrays([found.filter(pa.array(plain)), mixed.filter(pa.array(filled))])
+    return np.concatenate([owner[plain], more[filled]]), words
 
 
-def features(counts: Counter, wanted: frozenset[str] | None = None) -> set[str]:
-    """Words, and for each prefix whether it occurs at least once, twice and four times."""
-    out = set(counts)
-    for p, k in prefix_counts(counts, wanted).items():
-        out.update(f"^{n}{p}" for n in TIMES if k >= n)
-    return out
+def _split(owner: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    split = pc.ascii_split_whitespace(texts)
+    bounds = split.offsets.to_numpy()
+    return np.repeat(owner, np.diff(bounds)), split.values.slice(bounds[0], bounds[-1] - bounds[0])
+
+
+def prefixes(word: str) -> list[str]:
+    return [word[:n] for n in PREFIXES if len(word) >= n]
+
+
+def features(text: bytes) -> set[str]:
+    """Words, and for each beginning of a word whether it occurs at least once, twice and four times."""
+    counts = Counter(tokenised([text])[1].to_pylist())
+    begins: Counter = Counter()
+    for w, k in counts.items():
+        for p in prefixes(w):
+            begins[p] += k
+    return set(counts) | {f"^{n}{p}" for p, k in begins.items() for n in TIMES if k >= n}
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [sorted(features(words(batch.column(0)[i].as_buffer().to_pybytes()))) for i in range(batch.num_rows)]
+        found = [sorted(features(batch.column(0)[i].as_buffer().to_pybytes())) for i in range(batch.num_rows)]
         yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.string()))], ["toxic", "words"])
 
 
@@ -121,12 +156,39 @@ class Model:
 
     def __init__(self, weights: dict[str, float], intercept: float):
         self.weights, self.intercept = weights, intercept
-        self.prefixes = frozenset(w[2:] for w in weights if w[0] == "^")
+        words = sorted(w for w in weights if w[0] != "^")
+        begins = sorted({w[2:] for w in weights if w[0] == "^"})
+        self.words, self.begins = pa.array(words, pa.large_string()), pa.array(begins, pa.large_string())
+        self.word_weights = np.array([weights[w] for w in words])
+        # What a beginning adds by how often it occurs, up to the highest count that matters.
+        self.steps = np.array([[sum(weights.get(f"^{n}{p}", 0.0) for n in TIMES if n <= k) for k in range(max(TIMES) + 1)] for p in begins])
+
+    @staticmethod
+    def _counts(owner: np.ndarray, known: pa.Array, *columns: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, feature, count) of the known features among ``columns``, in this order."""
+        hits = []
+        for column in columns:
+            at = pc.fill_null(pc.index_in(column, value_set=known), -1).to_numpy()
+            hits.append(owner[at >= 0] * len(known) + at[at >= 0])
+        pairs, counts = np.unique(np.concatenate(hits), return_counts=True)
+        return pairs // max(1, len(known)), pairs % max(1, len(known)), counts
+
+    def scores(self, texts: list[bytes]) -> np.ndarray:
+        """A score from 0 to 1 for each text; equal texts have equal scores."""
+        owner, words = tokenised(texts)
+        z = np.full(len(texts), self.intercept)
+        if len(self.words):
+            text, feature, _ = self._counts(owner, self.words, words)
+            z += np.bincount(text, weights=self.word_weights[feature], minlength=len(texts))
+        if len(self.begins):
+            lengths = pc.utf8_length(words)
+            cut = [pc.if_else(pc.greater_equal(lengths, k), pc.utf8_slice_codeunits(words, 0, k), None) for k in PREFIXES]
+            text, feature, n = self._counts(owner, self.begins, *cut)
+            z += np.bincount(text, weights=self.steps[feature, np.minimum(n, max(TIMES))], minlength=len(texts))
+        return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
 
     def score(self, text: bytes) -> float:
-        found = features(words(text), getattr(self, "prefixes", frozenset()))
-        z = self.intercept + sum(sorted(self.weights[w] for w in found & self.weights.keys()))
-        return 1 / (1 + math.exp(-z)) if z > -700 else 0.0
+        return float(self.scores([text])[0])
 
 
 def fit_weights(x: np.ndarray, twins: np.ndarray, y: np.ndarray, ridge: float, fairness: float, rounds: int = 25):
@@ -182,10 +244,10 @@ def fit(
     counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word")
     counts = counts.agg(F.sum("toxic").alias("a"), F.count("*").alias("total")).filter(F.col("total") >= LEAST_TEXTS)
     chosen = counts.withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "word").limit(most_words)
-    swap = swaps()
+    lines = lines_of()
     # A beginning of an identity term would carry what the term itself may not.
-    hidden = features(Counter({w: max(TIMES) for w in swap})) - swap.keys()
-    names = sorted(({r.word for r in chosen.select("word").collect()} - hidden) | swap.keys())
+    hidden = {f"^{n}{p}" for w in lines for p in prefixes(w) for n in TIMES}
+    names = sorted(({r.word for r in chosen.select("word").collect()} - hidden) | lines.keys())
     place = {w: i for i, w in enumerate(names)}
     kept = rows.select("toxic", F.array_intersect("words", F.array(*map(F.lit, names))).alias("words")).toLocalIterator()
     y, lists = [], []
@@ -197,32 +259,61 @@ def fit(
     twins = []
     for i, found in enumerate(lists):
         x[i, [place[w] for w in found]] = 1
-        if swap.keys() & set(found):
-            twin = np.zeros(len(names))
-            twin[[place[swap.get(w, w)] for w in found]] = 1
-            twins.append(x[i] - twin)
+        if lines.keys() & set(found):
+            for other in (swapped(set(found), lines), set(found) - lines.keys()):
+                twin = np.zeros(len(names))
+                twin[[place[w] for w in other]] = 1
+                twins.append(x[i] - twin)
     weights, intercept = fit_weights(x, np.array(twins).reshape(-1, len(names)), np.array(y, float), ridge, fairness)
     return Model({w: float(v) for w, v in zip(names, weights, strict=True) if abs(v) > 1e-9}, intercept)
 
 
+def _scores(batch: pa.RecordBatch, model: Model) -> np.ndarray:
+    """The scores of a batch whose last column is the text."""
+    column = batch.column(batch.num_columns - 1)
+    return model.scores([column[i].as_buffer().to_pybytes() for i in range(batch.num_rows)])
+
+
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.schema.get_field_index("__utf8")
-            column = batch.column(text)
-            scores = pa.array([model.score(column[i].as_buffer().to_pybytes()) for i in range(batch.num_rows)], pa.float64())
-            kept = [k for k in range(batch.num_columns) if k != text]
-            arrays, names = [batch.column(k) for k in kept], [batch.schema.names[k] for k in kept]
-            yield pa.RecordBatch.from_arrays([*arrays, scores], [*names, "__score"])
+        for whole in batches:
+            for batch in shared.slices([whole], whole.num_columns - 1):
+                names = [*batch.schema.names[:-1], SCORE]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(_scores(batch, model), pa.float64())], names)
+
+    return run
+
+
+def _filter(model: Model, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in shared.slices([whole], whole.num_columns - 1):
+                kept = pa.array(_scores(batch, model) < threshold)
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(kept)
 
     return run
 
 
+def _with_text(docs: DataFrame, text_col: str) -> DataFrame:
+    """``docs`` and, last, the text's bytes under a name of its own."""
+    name = "utf8"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    return docs.withColumn(name, shared.utf8(text_col))
+
+
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``__score``, from 0 to 1."""
+    """All columns of ``docs`` and ``__score``, from 0 to 1; an input column of that name is replaced."""
+    shared.ship(docs.sparkSession)
+    rows = _with_text(docs, text_col)
+    rows = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c.lower() != SCORE))
+    return rows.mapInArrow(_scorer(model), T.StructType([*rows.schema.fields[:-1], T.StructField(SCORE, T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, columns of any name as they are."""
     shared.ship(docs.sparkSession)
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.withColumn("__utf8", shared.utf8(text_col)).mapInArrow(_scorer(model), f"{fields}, __score double")
+    return _with_text(docs, text_col).mapInArrow(_filter(model, threshold), docs.schema)
 
 
 def held_out(column: str = "doc_id") -> F.Column:
