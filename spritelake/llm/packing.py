@@ -36,7 +36,7 @@ WINDOW = 2048
 LEAST_TIER = 256
 #: Tokens in one step group, and tokens that are packed at a time.
 STEP_TOKENS = 16 * WINDOW
-BUFFER_TOKENS = 2 << 20
+BUFFER_TOKENS = 1 << 19
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -144,41 +144,48 @@ def balanced_steps(windows, step_tokens: int = STEP_TOKENS) -> list[int]:
     return group
 
 
-def _packer(path: str, window: int, least: int, end_id: int):
+def _packer(path: str, window: int, least: int, end_id: int, placed: bool, buffer_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_column
         base = TaskContext.get().partitionId() << 32
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "tier", "step_id"]
         kinds = [pa.int64()] * 7 + [pa.int32(), pa.int64()]
-        held: list[tuple] = []  # (doc_id, where its piece starts in the document, ids, tokens of the document)
-        sequences = steps = waiting = 0
+        if placed:
+            names.append("place")
+            kinds.append(pa.int64())
+        # (doc_id, where its piece starts in the document, ids, tokens of the document, its place)
+        held: list[tuple] = []
+        sequences = steps = waiting = read = 0
 
         def flush(last: bool):
             nonlocal held, sequences, steps, waiting
             windows, left = pack([len(x[2]) for x in held], window, least, last)
+            windows.sort(key=lambda w: min((held[d][4], held[d][1] + s) for d, s, _ in w[1]))
             groups = balanced_steps(windows)
             cols: list[list] = [[] for _ in names]
             for (capacity, content), g in zip(windows, groups, strict=True):
-                offset = 0
+                offset, first = 0, min(held[d][4] for d, _, _ in content)
                 for doc, start, n in content:
-                    doc_id, before, ids, total = held[doc]
+                    doc_id, before, ids, total, _ = held[doc]
                     crc = zlib.crc32(ids[start : start + n])
-                    row = (doc_id, before + start, n, crc, total, base + sequences, offset, capacity, base + steps + g)
+                    row = (doc_id, before + start, n, crc, total, base + sequences, offset, capacity, base + steps + g, first)[: len(names)]
                     for c, v in zip(cols, row, strict=True):
                         c.append(v)
                     offset += n
                 sequences += 1
             steps += max(groups, default=-1) + 1
-            held = [(held[d][0], held[d][1] + s, held[d][2][s : s + n], held[d][3]) for d, s, n in left]
+            held = [(held[d][0], held[d][1] + s, held[d][2][s : s + n], *held[d][3:]) for d, s, n in left]
             waiting = sum(len(x[2]) for x in held)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
         for batch in shared.slices(batches, 1):
             ids, bounds = with_end(*encode(batch.column(1)), end_id)
-            for doc_id, a, b in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                held.append((doc_id, 0, ids[a:b], b - a))
+            places = batch.column(2).to_pylist() if placed else range(read, read + batch.num_rows)
+            read += batch.num_rows
+            for doc_id, a, b, at in zip(batch.column(0).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), places, strict=True):
+                held.append((doc_id, 0, ids[a:b], b - a, at))
                 waiting += b - a
-                if waiting >= BUFFER_TOKENS:
+                if waiting >= buffer_tokens:
                     yield flush(False)
         yield flush(True)
 
@@ -187,12 +194,19 @@ def _packer(path: str, window: int, least: int, end_id: int):
 
 def packed_sequences(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None,
-    window: int = WINDOW, least_tier: int = LEAST_TIER, end_id: int = END_ID,
+    window: int = WINDOW, least_tier: int = LEAST_TIER, end_id: int = END_ID, place: F.Column | None = None,
+    buffer_tokens: int = BUFFER_TOKENS,
 ) -> DataFrame:
     """One row a piece: where it lies in its document (``start``, ``length``, ``doc_tokens``) and in
-    its sequence (``sequence_id``, ``offset``), its ids' checksum, the window's tier and its step group."""
+    its sequence (``sequence_id``, ``offset``), its ids' checksum, the window's tier and its step group.
+
+    Sequences follow the order of their split's rows but for what ``buffer_tokens`` hold at a time.
+    With ``place`` (a whole number by which rows of all splits are ordered) there is a last column
+    ``place``, the least of the sequence's documents, which orders the sequences of all splits."""
     if window & (window - 1) or least_tier & (least_tier - 1) or not 0 < least_tier <= window:
         raise ValueError("windows are powers of two")
     shared.ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), shared.utf8(text_col).alias("text"))
-    return rows.mapInArrow(_packer(vocabulary or vocabulary_path(), window, least_tier, end_id), SCHEMA)
+    rows = [F.col(id_col).cast("long").alias("doc_id"), shared.utf8(text_col).alias("text")]
+    rows = docs.select(*rows, *([] if place is None else [F.coalesce(place, F.lit(0)).cast("long").alias("place")]))
+    run = _packer(vocabulary or vocabulary_path(), window, least_tier, end_id, place is not None, buffer_tokens)
+    return rows.mapInArrow(run, SCHEMA if place is None else f"{SCHEMA}, place long")

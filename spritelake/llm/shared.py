@@ -14,6 +14,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,5 +109,18 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES
             yield batch.slice(start)
 
 
+def written_place(docs: DataFrame) -> F.Column | None:
+    """The place of each row in files that Spark wrote one after the other: the number in the file's
+    name, then the row's number. None for rows that do not come straight from Parquet files."""
+    place = F.expr("coalesce(try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]{1,9})', 1) as bigint), 0) * 1099511627776 + _metadata.row_index")
+    if "_metadata" in {c.lower() for c in docs.columns}:
+        return None
+    try:
+        docs.select(place)
+    except AnalysisException:
+        return None
+    return place
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

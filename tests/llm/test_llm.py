@@ -4,6 +4,7 @@ repeated rows and clashing columns; and on no rows at all."""
 import hashlib
 import itertools
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from spritelake.llm import impact, licenses, mixing, ogg, packing, simhash, tokenfile, toxicity, urlrules, warc
+from spritelake.llm import impact, licenses, mixing, neardups, ogg, packing, shared, simhash, tokenfile, toxicity, urlrules, warc
 from spritelake.llm.tokens import encoder, vocabulary_path
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda mu nu xi omicron pi rho sigma tau upsilon".split()
@@ -89,6 +90,25 @@ def test_pack_keeps_every_token(lengths, last):
     tier = {}
     for (capacity, _), g in zip(windows, groups, strict=True):
         assert tier.setdefault(g, capacity) == capacity
+    cost, size = Counter(), Counter(groups)
+    for (_, content), g in zip(windows, groups, strict=True):
+        cost[g] += sum(n * n for _, _, n in content)
+    for a, b in itertools.combinations(tier, 2):  # full groups of a tier differ by less than one window's cost
+        if tier[a] == tier[b] and size[a] == size[b]:
+            assert abs(cost[a] - cost[b]) <= tier[a] ** 2
+
+
+def test_sequences_follow_the_mixture(spark, tmp_path):
+    data = [(i, f"s{i % 3}", prose(i, 40 + i % 90)) for i in range(2000)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string").repartition(3)
+    order = {r.doc_id: r.mix_position for r in mixing.mixed(df).collect()}
+    mixing.in_mixed_order(df).write.parquet(str(tmp_path / "m"))
+    docs = spark.read.parquet(str(tmp_path / "m"))
+    pieces = packing.packed_sequences(docs, place=shared.written_place(docs), buffer_tokens=1 << 14).toPandas()
+    pieces["mixed"] = pieces.doc_id.map(order)
+    first = pieces.groupby("sequence_id").agg(mixed=("mixed", "min"), place=("place", "min"), most=("place", "max")).sort_values("place")
+    assert (first.place == first.most).all() and first.mixed.rank().corr(first.place.rank()) > 0.999
+    assert pieces.length.sum() == sum(len(ids_of(t)) for _, _, t in data) and shared.written_place(df) is None
 
 
 def test_token_file(spark, docs, nothing):
@@ -138,19 +158,74 @@ def test_simhash_equals_brute_force(spark, docs, nothing):
         key = None if np.isnan(r.doc_id) else int(r.doc_id)
         assert int(r.fp) & (1 << 64) - 1 == prints[key]
         assert (None if np.isnan(r.component_id) else r.component_id) == top(key)
-    kept = simhash.deduplicated(both)
-    assert kept.columns == both.columns and sorted(r.doc_id or 0 for r in kept.collect()) == sorted((k or 0) for k in keys if top(k) == k)
-    assert simhash.near_duplicates(nothing).count() == 0 and simhash.deduplicated(nothing).count() == 0
+    assert simhash.near_duplicates(nothing).count() == 0
+
+
+def slow_shingles(text, size=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} or ({tuple(words)} if words else set())
+
+
+def slow_components(sets, similarity=0.8):
+    """The component of each set by comparing all pairs."""
+    root = list(range(len(sets)))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        if not sets[a] and not sets[b] or sets[a] and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
+            a, b = sorted((top(a), top(b)))
+            root[b] = a
+    return [top(k) for k in range(len(sets))]
+
+
+def copies():
+    """Groups of near copies of a text, each changed in a few words, and texts of their own."""
+    rng, out = np.random.default_rng(12), []
+    for g in range(6):
+        base = prose(70 + g, 150 + 40 * g).split()
+        for _ in range(12):
+            words = list(base)
+            for at in rng.integers(0, len(words), int(rng.integers(0, 8))):
+                words[at] = f"z{rng.integers(0, 1000)}"
+            out.append(" ".join(words))
+    return out + [prose(90 + g, 100) for g in range(20)] + ["", None, " \n", "one", "One", "one two", "one two three", prose(1, 40_000), prose(1, 40_000) + " tail"]
+
+
+@pytest.mark.parametrize("large", [1024, 8])
+def test_near_copies_equal_brute_force(spark, nothing, large):
+    texts = copies()
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, key string").repartition(3)
+    found = {r.doc_id: r.component_id for r in neardups.near_copies(df, large=large).collect()}
+    assert [found[i] for i in range(len(texts))] == slow_components([slow_shingles(t) for t in texts])
+    kept = neardups.deduplicated(df, large=large)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(found.values()))
+    assert neardups.near_copies(nothing).count() == 0 and neardups.deduplicated(nothing).count() == 0
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=10), max_size=12))
+def test_search_spans_the_components(members):
+    sets = [np.unique(np.array(m, "<u4")) for m in members]
+    forest, root = neardups.linked(sets, 0.5), list(range(len(sets)))
+    for a, b in forest:
+        a, b = sorted((root[a], root[b]))
+        root = [a if r == b else r for r in root]
+    want = slow_components([set(s.tolist()) for s in sets], 0.5)
+    assert root == want and len(forest) == len(sets) - len(set(want))
 
 
 def test_rows_without_id_stay_unless_their_texts_link(spark):
     base, other = prose(9, 400), prose(50, 80)
     near = base.replace(base.split()[200], "zzz", 1)
-    assert 0 < (slow_print(base.encode()) ^ slow_print(near.encode())).bit_count() <= 3
     data = [(None, prose(51, 80)), (None, prose(52, 80)), (None, prose(53, 80)), (None, prose(53, 80)), (5, base), (None, near), (7, other), (7, prose(54, 80)), (7, other), (9, near)]
+    data += [(3, prose(55, 80)), (5, prose(55, 80))]  # a text under two ids, one of them another text's
     df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
-    kept = simhash.deduplicated(df)
-    want = [(0, prose(51, 80)), (0, prose(52, 80)), (0, prose(53, 80)), (5, base), (7, other), (7, prose(54, 80))]
+    kept = neardups.deduplicated(df)
+    want = [(0, prose(51, 80)), (0, prose(52, 80)), (0, prose(53, 80)), (3, prose(55, 80)), (5, base), (7, other), (7, prose(54, 80))]
     assert kept.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(want)
 
 
@@ -248,13 +323,70 @@ def test_toxicity(spark, nothing):
     assert gap(fair) <= gap(plain) + 1e-9 and fair.score(b"vile horrible") > 0.3 and fair.score(mention.format("hindus").encode()) < 0.3
     assert fair.score(b"") == pytest.approx(1 / (1 + np.exp(-fair.intercept)))
     out = toxicity.scored(df, fair)
-    assert out.columns == [*df.columns, "__score"] or out.columns.count("__score") == 2
+    assert out.columns == [c for c in df.columns if c != "__score"] + ["__score"]
     assert toxicity.fit(df, marks.limit(0)).score(b"vile") < 0.3 and toxicity.fit(nothing, marks).score(b"x") < 0.3
-    assert toxicity.features(toxicity.words("Abcdef abcdefgh abcdex x".encode())) == {"abcdef", "abcdefgh", "abcdex", "x", "^1abcde", "^2abcde", "^1abcdefg"}
+    assert toxicity.features("Abcdef abcdefgh (abcdex) x 12".encode()) == {"abcdef", "abcdefgh", "abcdex", "x", "^1abcde", "^2abcde", "^1abcdefg"}
     held = spark.range(50).select("id", toxicity.held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in held)
 
 
+def test_a_neutral_mention_is_not_toxic_though_the_labels_say_so(spark):
+    """Groups are mentioned almost only in toxic texts; half of those have no other sign."""
+    rng, texts, labels = np.random.default_rng(16), [], []
+    for i in range(800):
+        words, bad = prose(2000 + i, 25).split(), i % 4 == 0
+        words += ["vile"] if bad and i % 8 else []
+        words += [str(rng.choice(["muslims", "christians", "jews", "hindus"]))] if bad or i % 50 == 1 else []
+        texts.append((i, " ".join(words)))
+        labels.append((i, int(bad)))
+    df, marks = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    fair, plain = toxicity.fit(df, marks), toxicity.fit(df, marks, fairness=0.0)
+    neutral = [f"we met some {g} at the market {prose(7, 8)}".encode() for g in ("muslims", "christians", "jews", "hindus", "sikhs")]
+    assert (fair.scores(neutral) < 0.3).all() and (plain.scores(neutral[:4]) >= 0.3).all()
+    assert fair.score(b"vile muslims") >= 0.3 and fair.score(b"vile") >= 0.3
+
+
+def test_fitted_weights_are_where_the_penalised_likelihood_is_flat():
+    rng = np.random.default_rng(3)
+    x, y = (rng.random((200, 6)) < 0.4).astype(float), (rng.random(200) < 0.3).astype(float)
+    twins = x[:40].copy()
+    twins[:, 2:] = 0
+    weights, intercept = toxicity.fit_weights(x, twins, y, 1.0, 5.0)
+
+    def loss(w):
+        z = x @ w[:-1] + w[-1]
+        change = ((twins @ w[:-1]) ** 2).sum() / len(twins)
+        return np.logaddexp(0, z).sum() - y @ z + 0.5 * (w[:-1] @ w[:-1]) + 0.5e-6 * w[-1] ** 2 + 0.5 * 5.0 * len(x) * change
+
+    at, step = np.append(weights, intercept), 1e-5
+    for k in range(len(at)):
+        e = np.zeros(len(at))
+        e[k] = step
+        assert abs(loss(at + e) - loss(at - e)) / (2 * step) < 1e-3
+
+
+def test_scores_equal_sums_over_features_and_texts_of_any_kind(spark):
+    model = toxicity.Model({"vile": 2.0, "^1abcde": 0.5, "^2abcde": 0.25, "^1abcdefg": 1.0, "^4abcdefg": 3.0}, -1.0)
+    texts = ["", "vile", "Vile!vile", "abcde", "abcdef abcdeg", "abcdefg " * 5, "vile-abcdefgh 9", "x" * 50, prose(1, 2000) + " VILE", "é中 vile"]
+    want = [model.intercept + sum(model.weights.get(f, 0) for f in toxicity.features(t.encode())) for t in texts]
+    assert model.scores([t.encode() for t in texts]) == pytest.approx([1 / (1 + np.exp(-z)) for z in want])
+    keep, toxicity.CHUNK = toxicity.CHUNK, 64
+    try:
+        assert model.scores([t.encode() for t in texts]) == pytest.approx([1 / (1 + np.exp(-z)) for z in want])
+    finally:
+        toxicity.CHUNK = keep
+    df = spark.createDataFrame([(None, t, "u", 0.5, 1) for t in [*texts, None, "vile"]], "doc_id long, text string, utf8 string, __score double, UTF8_ int")
+    kept = toxicity.accepted(df, model, threshold=0.5)
+    scores = model.scores([(r.text or "").encode() for r in df.collect()])
+    assert kept.columns == df.columns and sorted(str(r.text) for r in kept.collect()) == sorted(str(r.text) for r, x in zip(df.collect(), scores, strict=True) if x < 0.5)
+
+
+def test_identity_terms_swap_within_a_language():
+    lines = toxicity.lines_of()
+    assert toxicity.swapped({"juden", "x"}, lines) == {"hindus", "x"} and toxicity.swapped({"hindus", "christen"}, lines) == {"buddhisten", "juden"}
+    assert toxicity.swapped({"hindus"}, lines) == {"buddhists"}
+
+
 def test_url_rules(spark):
     urls = ["http://WWW.Example.com/en/x?q=1", "http://m.example.com/en/", "https://a.net/fr/1#f", "http://a.net/de/1", "http://other.com", "http://com/", None, "no scheme",
             "http://notexample.com/en/", "x://example.com/EN/", "http://a.net?/fr/", "http://b.org/bad/page/7"]
@@ -299,8 +431,6 @@ def test_licenses(spark, nothing):
 
 def test_license_cosine_equals_brute_force(spark):
     import re
-    from collections import Counter
-
     texts = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License, see above", "this licence is odd", "All rights reserved. Copyright 2020 x"]
     got = {r.text: (r.license, r.cosine) for r in licenses.matched(spark.createDataFrame([(t,) for t in texts * 2], "text string"), 0.2).collect()}
     split = lambda t: Counter(re.findall(r"[^\W_]+(?:\.\d+)*", t.lower()))
@@ -337,26 +467,62 @@ def test_mixing(spark, nothing):
     assert sorted(r.doc_id for r in mixing.in_mixed_order(df).collect()) == list(range(len(data)))
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdefgh"), st.integers(1, 40), min_size=1))
-def test_pfair_lag_is_below_one_block(parts):
-    period, done = sum(parts.values()), dict.fromkeys(parts, 0)
-    for t, (s, j) in enumerate(mixing.pfair_period(parts)):
-        assert done[s] == j
-        done[s] += 1
-        assert all(abs(p * (t + 1) / period - done[x]) < 1 for x, p in parts.items())
+def test_mixing_keeps_repeated_and_unnamed_rows(spark):
+    data = [(None, "a", f"t{i}") for i in range(70)] + [(5, "a", "same")] * 40 + [(None, None, None)] * 9 + [(i, "b", "x") for i in range(30)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    found = mixing.mixed(df, block_rows=4, range_rows=10)
+    check_mixture(found.toPandas(), [len(data)], 4)
+    assert sorted(map(str, found.select(*df.columns).collect())) == sorted(map(str, df.collect()))
+    assert sorted(map(str, mixing.in_mixed_order(df).collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(ValueError):
+        mixing.mixed(df.withColumn("Slot", F.lit(1)))
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.sampled_from("abcdef"), st.tuples(st.integers(1, 5000), st.floats(0, 5)), min_size=1))
-def test_phases_place_every_block(sources):
-    blocks, weights = {s: n for s, (n, _) in sources.items()}, {s: w for s, (_, w) in sources.items()}
-    placed = dict.fromkeys(blocks, 0)
-    for phase in mixing.phases(blocks, weights, 64):
-        assert phase["before"] == placed and phase["periods"] > 0
-        for s, p in phase["parts"].items():
-            placed[s] += p * phase["periods"]
-    assert placed == blocks
+WEIGHTS = st.sampled_from([0, 1, 2, 3, 17, 0.35, "1/3", 0.0003, 5])
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.sampled_from("abcdefg"), st.tuples(st.integers(1, 300), WEIGHTS), min_size=1))
+def test_every_source_is_within_a_block_of_its_target_at_every_slot(sources):
+    from fractions import Fraction
+
+    blocks = {s: n for s, (n, _) in sources.items()}
+    given_weights = {s: Fraction(str(w)) for s, (_, w) in sources.items() if w}
+    left, slot = dict(blocks), 0
+    for phase in mixing.phases(blocks, mixing.whole_weights({s: w for s, (_, w) in sources.items()})):
+        assert phase["slot"] == slot and phase["before"] == {s: blocks[s] - n for s, n in left.items()}
+        length, order = sum(phase["parts"].values()), {}
+        for s, at in phase["at"].items():
+            order |= {j // phase["parts"][s] * length + at[j % phase["parts"][s]]: s for j in range(phase["placed"][s])}
+        assert sorted(order) == list(range(phase["slots"]))  # each slot has one block
+        running = {s for s in given_weights if left[s]} or {s for s, n in left.items() if n}
+        assert phase["parts"].keys() == running  # all that have a weight and blocks left
+        total = sum(given_weights.values()) if running <= given_weights.keys() else 0
+        total = sum(given_weights[s] for s in running) if total else length
+        share = {s: (given_weights[s] if running <= given_weights.keys() else phase["parts"][s]) / Fraction(total) for s in running}
+        taken = dict.fromkeys(running, 0)
+        for t in range(phase["slots"]):
+            taken[order[t]] += 1
+            assert all(abs(w * (t + 1) - taken[s]) < 1 for s, w in share.items())
+        for s, n in taken.items():
+            left[s] -= n
+        assert not all(left[s] for s in running)  # a phase ends only where a source runs out
+        slot += phase["slots"]
+    assert not any(left.values())
+
+
+def test_targets_hold_over_long_mixtures():
+    blocks = {"a": 1_000, "b": 50_000, "c": 500_000}
+    first, second, third = mixing.phases(blocks, {"a": 1, "b": 1, "c": 1})
+    assert first["placed"]["a"] == 1000 and second["parts"] == {"b": 1, "c": 1} and second["placed"]["b"] + first["placed"]["b"] == 50_000 and third["parts"] == {"c": 1}
+    many = {f"s{k}": 3_000_000 // (k + 1) for k in range(10)}
+    for phase in mixing.phases(many, mixing.own_weights(many, 0.5)):
+        total = sum(phase["parts"].values())
+        assert all(abs(phase["placed"][s] - phase["slots"] * w / total) < 1 for s, w in phase["parts"].items())
+    with pytest.raises(ValueError):
+        mixing.phases({"a": 10**9, "b": 10**9}, mixing.whole_weights({"a": 0.123456789, "b": 0.876543211}))
+    with pytest.raises(ValueError):
+        mixing.whole_weights({"a": -1})
 
 
 def test_files_follow_each_other_in_the_mixture(spark, tmp_path):
@@ -365,7 +531,7 @@ def test_files_follow_each_other_in_the_mixture(spark, tmp_path):
     df = spark.createDataFrame(data, "doc_id long, source string, text string").repartition(5)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        mixing.in_mixed_order(df).write.parquet(str(tmp_path / "mixed"))
+        mixing.in_mixed_order(df, tie=F.xxhash64("text")).write.parquet(str(tmp_path / "mixed"))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = sorted((tmp_path / "mixed").glob("part-*"))
@@ -374,30 +540,6 @@ def test_files_follow_each_other_in_the_mixture(spark, tmp_path):
     assert len(files) > 2 and [r.doc_id for r in got] == [r.doc_id for r in want]
 
 
-def slots_of(phases):
-    """The source of each slot."""
-    out = []
-    for phase in phases:
-        order = phase.get("order") or mixing.pfair_period(phase["parts"])
-        out += [s for s, _ in order] * phase["periods"]
-    return out
-
-
-def test_targets_hold_until_a_source_runs_out():
-    blocks, weights = {"a": 400, "b": 100, "c": 140}, {"a": 1, "b": 1, "c": 2}  # fewer than a period
-    left = dict(blocks)
-    share = {s: w / sum(weights.values()) for s, w in weights.items()}
-    start, taken, seen = 0, dict.fromkeys(blocks, 0), 0
-    for at, s in enumerate(slots_of(mixing.phases(blocks, weights)), 1):
-        left[s] -= 1
-        taken[s] += 1
-        assert all(abs(taken[x] - (at - start) * w) < 1.5 for x, w in share.items())
-        if not left[s] and any(left.values()):  # the others share the rest by their own weights
-            rest = {x: weights[x] for x, n in left.items() if n}
-            share, start, taken, seen = {x: w / sum(rest.values()) for x, w in rest.items()}, at, dict.fromkeys(blocks, 0), seen + 1
-    assert seen == 2 and not any(left.values())
-
-
 def test_warc(spark):
     html = "<p>" + "x" * 200
     pages = [(3, "http://a/1", html), (1, "http://a/2\r\nX: y", html), (2, None, "short"), (5, "http://b", "short"), (4, "u", None), (6, "u", "é" * 99), (1, "again", html), (None, "n", html)]

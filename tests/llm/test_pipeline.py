@@ -4,9 +4,10 @@ import os
 
 import pytest
 from conftest import SMALL
+from test_llm import slow_components, slow_shingles
 
 import corpus_pipeline
-from spritelake.llm import simhash, toxicity
+from spritelake.llm import toxicity
 from spritelake.llm.tokens import encoder, vocabulary_path
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test tables")
@@ -23,16 +24,8 @@ def test_stages(spark, tmp_path):
     model = toxicity.fit(docs, spark.read.parquet(f"{SMALL}/labels.parquet"))
     rows = docs.select("doc_id", "text").collect()
     assert ids[1] == sorted(r.doc_id for r in rows if model.score((r.text or "").encode()) < toxicity.THRESHOLD) and len(ids[1]) < len(ids[0])
-    prints = {r.doc_id: simhash.fingerprint((r.text or "").encode()) for r in rows if r.doc_id in set(ids[1])}
-    todo, firsts = sorted(prints), []
-    while todo:
-        firsts.append(todo.pop(0))
-        front = [firsts[-1]]
-        while front:
-            near = [d for d in todo if (prints[d] ^ prints[front[-1]]).bit_count() <= 3]
-            front.pop()
-            front += near
-            todo = [d for d in todo if d not in near]
+    left = sorted((r.doc_id, r.text) for r in rows if r.doc_id in set(ids[1]))
+    firsts = sorted({left[k][0] for k in slow_components([slow_shingles(t) for _, t in left])})
     assert ids[2] == firsts and len(ids[2]) < len(ids[1])
     assert ids[3] == ids[2] and sorted(map(tuple, kept[3].collect())) == sorted(map(tuple, kept[2].collect()))
     encode = encoder(vocabulary_path()).encode
