@@ -292,7 +292,7 @@ def test_exact_search(spark, scale):
     vectors[7] = (7, vectors[6][1], 1)  # ties
     vectors += [(200, None, 1), (220, [1.0, None], 1), (240, [float("nan")], 1), (260, [float("inf")], 1), (None, [1.0], 1), (280, [2.0], 1), (281, [], 1)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, rank int")
-    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in impact.top_k(df, k=5, block_rows=40, group_queries=3).collect()}
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in impact.top_k(df, k=5, block_rows=40, group_queries=3, lane_blocks=2).collect()}
     whole = {i: [int(np.floor(64 * x)) for x in v] for i, v, _ in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
     for q in [i for i in whole if i % 20 == 0]:
         best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=False)), i) for i, v in whole.items() if i != q)[:5]
@@ -301,6 +301,23 @@ def test_exact_search(spark, scale):
     assert impact.top_k(df.limit(0)).count() == 0
 
 
+def test_segments_are_skipped_only_on_proof():
+    """Random directions, the hardest case: most queries leave most blocks before their last segments."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 64))
+    x = np.floor(64 * x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.int64)
+    ids = np.arange(3000)
+    queries = ids[::60]
+    search = impact.Search(queries, x[queries], 20)
+    for b in range(3):
+        search.block(impact.build_block(ids[b::3], list(x[b::3])))
+    got = search.rows()
+    for i, q in enumerate(queries.tolist()):
+        best = sorted((-int(x[q] @ x[j]), j) for j in ids.tolist() if j != q)[:20]
+        assert [(-s, j) for k, j, s in got if k == i] == best
+    assert search.processed < 0.9 * search.offered
+
+
 def test_scores_beyond_64_bits_are_cut(spark):
     df = spark.createDataFrame([(0, [1e15]), (1, [1e15]), (2, [-1e15])], "vec_id long, embedding array<double>")
     got = [(r.vec_id, r.score) for r in impact.top_k(df).orderBy("rank").collect()]
