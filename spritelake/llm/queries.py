@@ -19,9 +19,12 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents have no paths: source, language and hundreds of ids stand for directories."""
+    """Documents have no paths: source, language, thousands and hundreds of ids stand for
+    directories, and files lie at all of these levels."""
     docs = shared.read(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    levels = ["source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.floor(F.col("doc_id") / 100).cast("string")]
+    depth = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)).cast("int") + 1
+    path = F.concat_ws("/", F.array_join(F.slice(F.array(*levels), F.lit(1), F.coalesce(depth, F.lit(1))), "/"), F.col("doc_id").cast("string"))
     return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
 
 

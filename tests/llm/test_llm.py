@@ -446,22 +446,76 @@ def test_licenses(spark, nothing):
     assert licenses.scan(nothing.withColumn("path", F.lit("a/b"))).count() == 0
 
 
+NOTICES = [
+    ("Copyright 2021 Jane Doe and contributors. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("This file is part of the Foo toolkit by Jane Doe and is released under the MIT License.", "MIT"),
+    (prose(1, 300) + " Licensed under the Apache License, Version 2.0. " + prose(2, 300), "Apache-2.0"),
+    ("// This Source Code Form is subject to the\n// terms of the Mozilla Public\n// License, v. 2.0.\nint x;", "MPL-2.0"),
+    ("This library is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+    ("This work is licensed under the GNU General Public Licence, version 2.", "GPL-2.0"),
+    ("# SPDX-License-Identifier: Apache-2.0\nx = 1", "Apache-2.0"), ("/* spdx-license-identifier: mit */", "MIT"),
+    ("# SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("# SPDX-License-Identifier: Zlib", "Zlib"),
+    ("the licence of this shop and its rights", None), (prose(3, 200), None), ("", None), (None, None), ("license " * 3000, None),
+]
+
+
+def test_notices_are_found_wherever_they_stand(spark):
+    files = [(i, f"d{i}/f", t, "x", 1.0) for i, (t, _) in enumerate(NOTICES)]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string, license string, cosine double")
+    got = {r.doc_id: r.license for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(NOTICES))] == [name for _, name in NOTICES]
+
+
 def test_license_cosine_equals_brute_force(spark):
     import re
-    texts = ["Licensed under the Apache License, Version 2.0.", "Released under the MIT License, see above", "this licence is odd", "All rights reserved. Copyright 2020 x"]
-    got = {r.text: (r.license, r.cosine) for r in licenses.matched(spark.createDataFrame([(t,) for t in texts * 2], "text string"), 0.2).collect()}
-    split = lambda t: Counter(re.findall(r"[^\W_]+(?:\.\d+)*", t.lower()))
-    own, fixed = [split(t) for t in texts], [(n, split(t)) for n, t in licenses.TEMPLATES]
-    total, df = len(texts) + len(fixed), Counter(w for c in [*own, *(f for _, f in fixed)] for w in c)
-    vec = lambda c: {w: (1 + np.log(k)) * (np.log((1 + total) / (1 + df[w])) + 1) for w, k in c.items()}
-    for text, c in zip(texts, own, strict=True):
-        v, best = vec(c), []
-        for name, f in fixed:
-            u = vec(f)
-            dot = sum(x * u.get(w, 0) for w, x in v.items())
-            best.append((-round(dot / np.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in u.values())), 9), name))
-        cosine, name = min(best)
-        assert (text in got) == (-cosine >= 0.2) and (text not in got or (got[text][0] == name and got[text][1] == pytest.approx(-cosine)))
+
+    texts = [t for t, _ in NOTICES if t][:6] + ["All rights reserved. Copyright 2020 x", "a permission b license c"]
+    split = lambda t: re.findall(r"[^\W_]+(?:\.\d+)*", t.lower().replace("licence", "license"))
+    df = spark.createDataFrame([(str(i), split(t)) for i, t in enumerate(texts)], "key string, terms array<string>")
+    got = {}
+    for r in licenses.matched(df, 0.2).collect():
+        got[r.key, r.license, r.start] = max(r.cosine, got.get((r.key, r.license, r.start), 0))
+    fixed, lists = licenses.template_terms(), [split(t) for t in texts]
+    near = [{w for at, a in enumerate(t) if a in licenses.ANCHORS for w in t[max(0, at - licenses.REACH) : at + licenses.REACH + 1]} for t in lists]
+    total = sum(map(bool, near)) + len(fixed)
+    uses = Counter(w for c in [*near, *map(set, fixed)] for w in c)
+    known = {w for f in fixed for w in f}
+    idf = lambda w: np.log((1 + total) / (1 + (uses[w] if w in known else 1))) + 1
+    vec = lambda words: {w: (1 + np.log(k)) * idf(w) for w, k in Counter(words).items()}
+    want = {}
+    for i, t in enumerate(lists):
+        for (name, _), f in zip(licenses.TEMPLATES, fixed, strict=True):
+            for at, a in enumerate(t):
+                if a in licenses.ANCHORS and a in f:
+                    start = at - f.index(a)
+                    v, u = vec(t[max(0, start) : start + len(f)]), vec(f)
+                    dot = sum(x * u.get(w, 0) for w, x in v.items())
+                    cosine = dot / np.sqrt(sum(x * x for x in v.values()) * sum(x * x for x in u.values()))
+                    if cosine >= 0.2:
+                        want[str(i), name, start] = max(cosine, want.get((str(i), name, start), 0))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-8) for k in want)
+
+
+@settings(max_examples=1, deadline=None)
+@given(st.integers(0, 1 << 30))
+def test_nearest_licensed_ancestor_equals_brute_force(spark, seed):
+    rng, names = np.random.default_rng(seed), [n for n, t in licenses.TEMPLATES if n in ("MIT", "Apache-2.0", "MPL-2.0")]
+    files = []
+    for i in range(120):
+        parts = [str(k) for k in rng.integers(0, 3, int(rng.integers(0, 5)))]
+        name = str(rng.choice(sorted(set(names)))) if i % 6 == 0 else None
+        files.append((i, "/".join([*parts, f"LICENSE.{i}" if name else f"f{i}"]), f"SPDX-License-Identifier: {name}" if name else "x"))
+    got = {r.doc_id: (r.license, r.directory) for r in licenses.scan(spark.createDataFrame(files, "doc_id long, path string, text string")).collect()}
+    by_dir = {}
+    for i, path, text in sorted(files, key=lambda f: f[1], reverse=True):
+        if "LICENSE" in path:
+            by_dir[path.rpartition("/")[0]] = text.split()[-1]
+    for i, path, text in files:
+        if "LICENSE" not in path:
+            up = path.rpartition("/")[0]
+            while up not in by_dir and up:
+                up = up.rpartition("/")[0]
+            assert got[i] == ((by_dir[up], up) if up in by_dir else (None, None))
 
 
 def check_mixture(found, sizes, block):
