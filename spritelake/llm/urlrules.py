@@ -5,7 +5,9 @@ starts with the rule's; the longest decides.
 
 Where no rule fits, mined rules do. FP-growth finds the token combinations of labelled urls that
 are frequent enough; a combination becomes a rule if blocked urls make up enough of the labelled
-urls that have it. A rule is dropped if a shorter one that it contains is at least as confident.
+urls that have it. Tokens that occur in exactly the same urls are one item, so templates and nested hosts
+do not multiply combinations, and a rule's body has all of them. A rule is dropped if a shorter one
+that it contains is at least as confident.
 Matching uses an inverted index: each rule is filed under its rarest token, a url's tokens look up
 the rules filed under them, and a rule matches if the url has all of its tokens.
 
@@ -19,6 +21,8 @@ combination is frequent, nothing is mined and the rest is allowed; other columns
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,12 +89,35 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url") -> D
     return rows.withColumn("items", F.coalesce(tokens(), F.array().cast("array<string>")))
 
 
+def classes(baskets: DataFrame, least: int) -> DataFrame:
+    """(token, name, members): the tokens of at least ``least`` baskets (row, item), and with each the
+    tokens that occur in exactly the same baskets. Such tokens are one item to the miner: a
+    template of k words gives one item, not 2 ** k combinations, and a host and the suffixes that
+    only it has are one item as well. The table is small: a token is in a share of
+    least / baskets of all baskets, so there are at most (items of a basket / share) tokens."""
+    mark = F.xxhash64("row")
+    uses = baskets.groupBy("item").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 24)).alias("s"))
+    same = uses.filter(F.col("n") >= least).groupBy("n", "x", "s").agg(F.sort_array(F.collect_list("item")).alias("members"))
+    return same.select(F.explode("members").alias("item"), F.col("members")[0].alias("name"), "members")
+
+
 def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(items, confidence, support): the rules mined from rows (items, blocked), pruned; stored."""
-    basket = F.when(F.col("blocked"), F.concat("items", F.array(F.lit(BLOCKED)))).otherwise(F.col("items"))
-    rows = shared.stored(labelled.select(basket.alias("items")).filter(F.size("items") > 0), "baskets")
-    support = min(1.0, max(support, LEAST_ROWS / max(1, rows.count())))
-    sets = FPGrowth(itemsCol="items", minSupport=support).fit(rows).freqItemsets
+    """(items, confidence, support): the rules mined from rows (items, blocked), pruned; stored.
+
+    Bodies are closed under tokens that always occur together (:func:`classes`)."""
+    numbered = labelled.select(F.monotonically_increasing_id().alias("row"), "items", "blocked").filter(F.size("items") > 0)
+    rows = shared.stored(numbered, "labelled_urls")
+    n = max(1, rows.count())
+    support = min(1.0, max(support, LEAST_ROWS / n))
+    items = rows.select("row", F.explode(F.array_distinct("items")).alias("item"))
+    known = shared.stored(classes(items, math.ceil(support * n - 1e-9)), "token_classes")
+    baskets = items.join(F.broadcast(known), "item").groupBy("row").agg(F.collect_set("name").alias("names"))
+    baskets = baskets.join(rows.select("row", "blocked"), "row")
+    basket = F.when(F.col("blocked"), F.concat("names", F.array(F.lit(BLOCKED)))).otherwise(F.col("names"))
+    baskets = shared.stored(baskets.select(basket.alias("items")), "baskets")
+    # The share is of all labelled rows; rows whose tokens are all rare are not in the baskets.
+    share = min(1.0, support * n / max(1, baskets.count()))
+    sets = FPGrowth(itemsCol="items", minSupport=share).fit(baskets).freqItemsets
     sets = shared.stored(sets.select(F.sort_array("items").alias("items"), "freq"), "itemsets")
     bodies = sets.filter(~F.array_contains("items", BLOCKED)).withColumnRenamed("freq", "n")
     heads = sets.filter(F.array_contains("items", BLOCKED) & (F.size("items") > 1))
@@ -101,9 +128,17 @@ def mine(labelled: DataFrame, support: float = SUPPORT, confidence: float = CONF
     less = found.select(
         "items", "confidence", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("shorter")
     ).filter(F.size("shorter") > 0)
-    known = found.select(F.col("items").alias("shorter"), F.col("confidence").alias("reached"))
-    worse = less.join(known, "shorter").filter("reached >= confidence").select("items").distinct()
-    return shared.stored(found.join(worse, "items", "left_anti"), "pruned_rules")
+    reached = found.select(F.col("items").alias("shorter"), F.col("confidence").alias("reached"))
+    worse = less.join(reached, "shorter").filter("reached >= confidence").select("items").distinct()
+    pruned = found.join(worse, "items", "left_anti").select("items", "confidence", "support", F.explode("items").alias("name"))
+    whole = known.filter("item = name").select("name", "members")
+    pruned = pruned.join(F.broadcast(whole), "name").groupBy("items").agg(
+        F.sort_array(F.flatten(F.collect_list("members"))).alias("closed"), F.first("confidence").alias("confidence"), F.first("support").alias("support")
+    )
+    out = shared.stored(pruned.select(F.col("closed").alias("items"), "confidence", "support"), "pruned_rules")
+    for done in (rows, known, baskets, sets, found):
+        shared.discard(done)
+    return out
 
 
 def matches(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -129,7 +164,8 @@ def verdicts(
     mined = mine(rows.select("page_id", "items").join(known, "page_id").select("items", "blocked"), support, confidence)
     rule, verdict = written_rule(rules)
     out = rows.withColumns({"rule": rule, "written": verdict, "key": F.array_join("items", "\n")})
-    # Urls repeat their tokens: each distinct set is matched once.
-    flagged = matches(out.select("key", "items").distinct(), mined).withColumn("mined", F.lit("block"))
-    out = out.join(flagged, "key", "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("written", "mined", F.lit("allow")).alias("verdict"))
+    if mined.limit(1).count():
+        # Urls repeat their tokens: each distinct set is matched once.
+        flagged = matches(out.select("key", "items").distinct(), mined).withColumn("mined", F.lit("block"))
+        out = out.join(flagged, "key", "left").withColumn("written", F.coalesce("written", "mined"))
+    return out.select("page_id", "host", "path", "rule", F.coalesce("written", F.lit("allow")).alias("verdict"))

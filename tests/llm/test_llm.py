@@ -446,6 +446,22 @@ def test_licenses(spark, nothing):
     assert licenses.scan(nothing.withColumn("path", F.lit("a/b"))).count() == 0
 
 
+def test_matches_equal_brute_force_and_templates_stay_small(spark):
+    rng = np.random.default_rng(9)
+    rules = [sorted({f"t{k}" for k in rng.integers(0, 12, int(rng.integers(1, 4)))}) for _ in range(25)]
+    urls = [(str(i), sorted({f"t{k}" for k in rng.integers(0, 14, int(rng.integers(0, 6)))})) for i in range(200)]
+    found = urlrules.matches(spark.createDataFrame(urls, "key string, items array<string>"), spark.createDataFrame([(r,) for r in rules], "items array<string>"))
+    assert sorted(r.key for r in found.collect()) == sorted(k for k, items in urls if any(set(r) <= set(items) for r in rules))
+    template = [f"w{k}" for k in range(40)]
+    baskets = [(template if i % 3 else ["other", "more"], bool(i % 3 and i % 10)) for i in range(90)]
+    mined = urlrules.mine(spark.createDataFrame(baskets, "items array<string>, blocked boolean"), 0.1, 0.6).collect()
+    assert [sorted(r["items"]) for r in mined] == [sorted(template)]
+    long = "http://long.org/" + "/".join(f"part{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(5000)) + "?" + "&".join(f"k{i}=v" for i in range(2000))
+    pages = spark.createDataFrame([(1, long, 1), (1, long, 1), (None, long, 2)], "page_id long, url string, host int")
+    labels = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    assert [(r.host, r.verdict, len(r.path) > 20_000) for r in urlrules.verdicts(pages, labels).collect()] == [("long.org", "allow", True)] * 3
+
+
 NOTICES = [
     ("Copyright 2021 Jane Doe and contributors. Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
     ("This file is part of the Foo toolkit by Jane Doe and is released under the MIT License.", "MIT"),
