@@ -122,15 +122,26 @@ def test_token_file(spark, docs, nothing):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.integers(1, 3000), min_size=1, max_size=700))
-def test_elias_fano(sizes):
-    ends = np.cumsum(sizes)
-    names = [None if i % 5 == 0 else i - 3 for i in range(len(sizes))]
-    got, bounds, ids = tokenfile.read_shard(tokenfile.write_shard(names, ends, np.arange(ends[-1]) % 60000, 2))
-    assert got == names and bounds.all().tolist() == ends.tolist() and len(ids) == ends[-1]
-    assert [bounds.select(i) for i in range(len(sizes))] == ends.tolist()
-    low = max(0, (int(ends[-1]) // len(ends)).bit_length() - 1)
-    assert len(bounds.lows) <= -(-len(ends) * low // 8) and len(bounds.highs) <= len(ends) * 3 // 8 + 2
+@given(st.lists(st.tuples(st.integers(1, 3000), st.one_of(st.integers(0, 5000), st.integers(-(1 << 63), (1 << 63) - 1), st.none())), min_size=1, max_size=700))
+def test_elias_fano(documents):
+    documents.sort(key=lambda d: (d[1] is not None, d[1] or 0))
+    ends, names = np.cumsum([n for n, _ in documents]), [d for _, d in documents]
+    shard = tokenfile.Shard(tokenfile.write_shard(names, ends, np.arange(ends[-1]) % 60000, 2))
+    assert [shard.doc_id(i) for i in range(len(names))] == names and [shard.ends.select(i) for i in range(len(ends))] == ends.tolist()
+    for i in (0, len(ends) // 2, len(ends) - 1):
+        assert shard.document(i).tolist() == (np.arange(ends[i] - documents[i][0], ends[i]) % 60000).tolist()
+    with pytest.raises(IndexError):
+        shard.ends.select(len(ends))
+
+
+def test_boundaries_and_ids_take_little_space():
+    n = 5000
+    sizes = np.random.default_rng(4).integers(100, 900, n)
+    blob = tokenfile.write_shard(list(range(7, 7 + 3 * n, 3)), np.cumsum(sizes), np.zeros(sizes.sum()), 2)
+    beside = len(blob) - 2 * int(sizes.sum()) - tokenfile._HEAD.size
+    assert beside * 8 / n < (2 + np.log2(sizes.mean())) + (2 + np.log2(3)) + 1  # bits a document; a table of 64-bit numbers has 128
+    with pytest.raises(ValueError):
+        tokenfile.Shard(blob[:-1])
 
 
 def test_simhash_equals_brute_force(spark, docs, nothing):
