@@ -124,8 +124,10 @@ def demux(media: bytes) -> tuple[dict[int, Logical], int]:
         if flags & FIRST:
             if stream or number:
                 raise ValueError("a stream begins twice")
+            if size != _IDENT.size or n != 1:
+                raise ValueError("not an identification packet")
             magic, _, rate, length = _IDENT.unpack_from(media, start)
-            if magic != _MAGIC:
+            if magic != _MAGIC or not rate:
                 raise ValueError("an unknown stream")
             streams[serial] = Logical(rate, length, number=1)
         else:

@@ -29,6 +29,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = f"file://{LOCAL_FOLDER}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")

@@ -1,11 +1,11 @@
 """WARC archives with revisit resolution.
 
-Headers (id, payload digest, payload size) are shuffled by payload digest, never payloads: the
-smallest id of each digest that occurs more than once becomes the original. The count per digest
-is a pre-aggregated group-by, so a payload that a third of all rows share costs one row a task.
-Rows then join their original by digest; Spark broadcasts the originals where they are few and
-splits a skewed digest where not. Each partition writes archives with fresh headers: a response
-record carries the payload, a revisit record only refers to its original.
+Headers (id, payload digest, payload size) are shuffled by payload digest: the smallest id of each
+digest that occurs more than once becomes the original. The count per digest is a pre-aggregated
+group-by, so a payload that a third of all rows share costs one row a task. Rows then join their
+original by digest: Spark broadcasts the originals where they are few; where they are not, whole
+rows are shuffled once by digest, and a skewed digest is split. Each partition writes archives with
+fresh headers: a response record carries the payload, a revisit record only refers to its original.
 
 Archives are rows of a table in the shared folder (one row a bounded run of records), so that a
 lost executor leaves no half-written archive.

@@ -284,6 +284,12 @@ def test_ogg_round_trip_and_damage(payload, packet, data):
         ogg.demux(media[:at] + bytes([media[at] ^ 1]) + media[at + 1 :])
 
 
+def test_ogg_refuses_bad_identification():
+    for ident in (b"", b"\x7fPCM8", ogg._IDENT.pack(ogg._MAGIC, 1, 0, 0), ogg._IDENT.pack(b"other", 1, 8000, 0)):
+        with pytest.raises(ValueError):
+            ogg.demux(ogg._page(ogg.FIRST, 0, 1, 0, bytes([len(ident)]), ident))
+
+
 def test_ogg_checksum_is_the_format_s():
     def slow(page):
         crc = 0
@@ -649,6 +655,13 @@ def test_warc(spark):
     assert warc.read_archives(warc.write_archives(warc.resolved(df.limit(0)))).count() == 0
 
 
+def test_very_long_pages_and_clashing_columns(spark):
+    long = "é" * 3_000_000
+    df = spark.createDataFrame([(1, "u", long, "x", 1), (2, "u", long, "x", 1), (3, None, None, None, None)], "page_id long, url string, html string, digest string, size int")
+    got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_archives(warc.write_archives(warc.resolved(df))).collect()}
+    assert got == {1: ("response", None, 6_000_000), 2: ("revisit", 1, 6_000_000), 3: ("response", None, 0)}
+
+
 def test_damaged_archive_is_refused():
     record = warc.write_record(1, "u", b"payload", 7, hashlib.sha256(b"payload").hexdigest(), None)
     with pytest.raises(ValueError):
