@@ -28,5 +28,9 @@ def session(master: str = "local[*]", name: str = "spritelake", **more: str) ->
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{LOCAL_FOLDER}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = f"file://{LOCAL_FOLDER}"
     return f"{base.rstrip('/')}/spritelake/{uuid.uuid4().hex}/{name}"
