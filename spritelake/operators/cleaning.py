@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spritelake.functions.rules import first_match
+from spritelake.operators import ordering
 
 MOST_TRANSPARENT = 0.80
 LEAST_COLORS = 2
@@ -91,8 +92,9 @@ def quarantine(pack: Column, pack_total: Column) -> Column:
 def quarantined(sprites: DataFrame, pack_col: str = "pack") -> DataFrame:
     """``sprites`` with pack_total and quarantine. Packs are counted by a group-by that combines
     before it shuffles and joined back, so a large pack is no single task's window."""
-    totals = sprites.groupBy(pack_col).agg(F.count("*").alias("pack_total"))
-    return sprites.join(totals, pack_col).withColumn("quarantine", quarantine(F.col(pack_col), F.col("pack_total")))
+    totals = sprites.groupBy(F.col(pack_col).alias("__pack")).agg(F.count("*").alias("pack_total"))
+    rows = sprites.join(totals, F.col(pack_col).eqNullSafe(F.col("__pack"))).drop("__pack")  # a null pack is a pack
+    return rows.withColumn("quarantine", quarantine(F.col(pack_col), F.col("pack_total")))
 
 
 def flagged(sprites: DataFrame, keys: list[str], flag: Column, over: float) -> DataFrame:
@@ -135,20 +137,11 @@ def distribution(rows: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def breaker(rows: DataFrame, order: str, suspect: Column, ranges: int = 64, over: float = BREAKER) -> DataFrame:
+def breaker(rows: DataFrame, order: str, suspect: Column, range_rows: int = ordering.RANGE_ROWS, over: float = BREAKER) -> DataFrame:
     """(position, order, suspects): the first row, by ``order``, at which more than a share ``over``
-    of the rows so far is suspect.
-
-    Two levels of running sums: within ranges of ``order``, and over the ranges."""
-    dealt = rows.select(F.col(order), F.when(suspect, 1).otherwise(0).alias("s")).repartitionByRange(ranges, order)
-    dealt = dealt.withColumn("part", F.spark_partition_id())
-    w = Window.partitionBy("part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    within = dealt.withColumns({"k": F.count("*").over(w), "t": F.sum("s").over(w)})
-    totals = within.groupBy("part").agg(F.max("k").alias("n"), F.max("t").alias("m"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("m").over(before), F.lit(0)).alias("m"))
-    at = within.join(F.broadcast(totals), "part")  # a row for each of the ranges
-    at = at.select((F.col("k") + F.col("n")).alias("position"), order, (F.col("t") + F.col("m")).alias("suspects"))
+    of the rows so far is suspect; by two levels of running sums."""
+    at = ordering.running(rows.select(order, suspect.alias("__suspect")), [order], {"suspects": F.col("__suspect").cast("int")}, range_rows=range_rows)
+    at = at.select(F.col("place").alias("position"), order, "suspects")
     return at.filter(F.col("suspects") / F.col("position") > over).orderBy("position").limit(1)
 
 

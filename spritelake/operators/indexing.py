@@ -61,6 +61,17 @@ def partial_alpha(px: DataFrame, key: str) -> DataFrame:
     return px.groupBy(key).agg(F.sum(F.when((F.col("a") > 0) & (F.col("a") < 255), 1).otherwise(0)).alias("soft"))
 
 
+def light_fill(px: DataFrame, key: str, alpha_over: int = 10) -> DataFrame:
+    """(key, fill, light_x, light_y): the share of pixels whose alpha is above a bound, and their
+    centre weighted by brightness; null where nothing shines."""
+    seen = F.col("a") > alpha_over
+    shine = F.when(seen, color.luminance(F.col("r"), F.col("g"), F.col("b"))).otherwise(0.0)
+    sums = px.groupBy(key).agg(
+        F.avg(F.when(seen, 1.0).otherwise(0.0)).alias("fill"), F.sum(shine).alias("__l"), F.sum(shine * F.col("x")).alias("__x"), F.sum(shine * F.col("y")).alias("__y")
+    )
+    return sums.select(key, "fill", F.try_divide("__x", "__l").alias("light_x"), F.try_divide("__y", "__l").alias("light_y"))
+
+
 def tile_rows(tiles: DataFrame, tile: int) -> DataFrame:
     """Slices of a tileset with their cells and fixed tags."""
     return tiles.select(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spritelake.functions.rules import first_match
+from spritelake.operators import ordering
 
 # What an acceptable licence's text contains, and what it must not.
 ACCEPTED = ("cc0", "cc-by", "cc-by-sa", "cc0-1.0", "cc-by-4.0", "cc-by-3.0", "cc-by-sa-4.0", "cc-by-sa-3.0", "publicdomain", "public domain")
@@ -38,11 +39,13 @@ def license_url(license_id: Column) -> Column:
 
 
 def source_info(path: Column) -> Column:
-    """A struct (creator, license) by the folders of a path."""
+    """A struct (creator, license, url) by the folders of a path."""
     parts, low = F.split(path, "/"), F.lower(path)
+    # Creators, licences and their addresses.
+    urls = {"CC0": "https://creativecommons.org/publicdomain/zero/1.0/", "CC-BY-SA": "https://creativecommons.org/licenses/by-sa/3.0/"}
 
-    def info(creator: str, license_id: str) -> Column:
-        return F.struct(F.lit(creator).alias("creator"), F.lit(license_id).alias("license"))
+    def info(creator: str, license_id: str, url: str | None = None) -> Column:
+        return F.struct(F.lit(creator).alias("creator"), F.lit(license_id).alias("license"), F.lit(urls[license_id] if url is None else url).alias("url"))
 
     oga = F.array_contains(parts, "opengameart")
     return first_match(
@@ -53,7 +56,7 @@ def source_info(path: Column) -> Column:
             (oga, info("OpenGameArt contributor", "CC0")),
             (F.array_contains(parts, "direct") | low.contains("lpc"), info("LPC Community", "CC-BY-SA")),
         ],
-        info("Unknown", "CC0"),
+        info("Unknown", "CC0", ""),
     )
 
 
@@ -65,8 +68,10 @@ def safe_stem(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(path, r"\.[^./]*$", ""), "/", "__"), " ", "_")
 
 
-def pack_of(path: Column) -> Column:
-    return F.get(F.split(path, "/"), 0)
+def pack_of(path: Column, parent: Column | None = None) -> Column:
+    """The first folder of a path; for a bare name, ``parent`` where it is given."""
+    first = F.get(F.split(path, "/"), 0)
+    return first if parent is None else F.when(path.contains("/"), first).otherwise(parent)
 
 
 def without_prefix(path: Column, prefix: str) -> Column:
@@ -84,6 +89,20 @@ def in_manifest(rows: DataFrame, manifest: DataFrame, key: str) -> DataFrame:
     return rows.join(known, key, "left").withColumn("in_manifest", F.coalesce("in_manifest", F.lit(False)))
 
 
+def with_sibling(files: DataFrame, folder: str, test: Column, name: str) -> DataFrame:
+    """``files`` with ``name``: whether the same folder has a file that passes ``test``. The folders
+    are made distinct before they are joined; a null folder has no siblings."""
+    have = files.filter(test).select(folder).distinct().withColumn("__has", F.lit(True))
+    return files.join(have, folder, "left").withColumn(name, F.coalesce("__has", F.lit(False))).drop("__has")
+
+
+def zipped(left: DataFrame, right: DataFrame, sheet: str, left_order: str, right_order: str) -> DataFrame:
+    """Rows of both tables with the same place (from 1) in their orders within a sheet; what one of
+    them has more of is left out, as when two lists are zipped."""
+    a, b = ordering.running(left, [left_order], {}, (sheet,)), ordering.running(right, [right_order], {}, (sheet,))
+    return a.join(b, [sheet, "place"])
+
+
 def resolved_packs(packs: DataFrame, catalogue: DataFrame, bounded_by: int = 10_000) -> DataFrame:
     """``packs`` (source, pack) with creator, license and how: the catalogue first, then what the
     sources' policies say, else quarantine. The catalogue is broadcast if it is small."""

@@ -33,19 +33,26 @@ def similar_pairs(sprites: DataFrame, block: list[str], id_col: str = "sprite_id
     A prefix filter keeps this exact without comparing all pairs of a block: with palettes in one
     global order (rarest colour first), a pair that reaches ``least`` shares a colour among the
     first n - ceil(least * n) + 1 of each, and the smaller has at least ``least`` times the size of
-    the larger. Sprites meet by an equality join on (block, prefix colour)."""
+    the larger. Sprites meet by an equality join on (block, prefix colour); where the colour stands in
+    both bounds what they can still share, and only candidates within that bound are compared.
+
+    Rows of one id with different palettes are sprites of their own; equal rows count once."""
     rows = sprites.select(F.col(id_col).alias("id"), *block, F.array_distinct(palette_col).alias("p")).filter(F.size("p") > 0)
     uses = rows.select(F.explode("p").alias("c")).groupBy("c").agg(F.count("*").alias("uses"))
-    ordered = rows.select("id", *block, F.explode("p").alias("c")).join(uses, "c").groupBy("id", *block)
+    rows = rows.withColumn("whole", F.array_sort("p"))
+    ordered = rows.select("id", *block, "whole", F.explode("p").alias("c")).distinct().join(uses, "c").groupBy("id", *block, "whole")
     ordered = ordered.agg(F.sort_array(F.collect_list(F.struct("uses", "c"))).alias("s"))
     ordered = ordered.select("id", *block, F.transform("s", lambda x: x["c"]).alias("p"))
     n = F.size("p")
     prefix = F.slice("p", F.lit(1), (n - F.ceil(n * least - 1e-9).cast("int") + 1).cast("int"))
-    keyed = ordered.withColumn("c", F.explode(prefix))
+    keyed = ordered.select("*", F.posexplode(prefix).alias("at", "c"))
     a, b = keyed.alias("a"), keyed.alias("b")
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in block] + [F.col("a.c") == F.col("b.c"), F.col("a.id") < F.col("b.id")]
     sizes = F.least(F.size("a.p"), F.size("b.p")) >= F.greatest(F.size("a.p"), F.size("b.p")) * F.lit(least) - 1e-9
-    met = a.join(b, on).filter(sizes)
+    # From this colour on, the first that both have, they share at most what is left of either.
+    left = F.least(F.size("a.p") - F.col("a.at"), F.size("b.p") - F.col("b.at"))
+    enough = left * F.lit(1 + least) >= F.lit(least) * (F.size("a.p") + F.size("b.p")) - 1e-9
+    met = a.join(b, on).filter(sizes & enough)
     # A pair that shares several prefix colours is kept at the first one only; an intersection of
     # two arrays in one order begins with it.
     met = met.filter(F.get(F.array_intersect("a.p", "b.p"), 0) == F.col("a.c"))
@@ -87,15 +94,31 @@ def sheet_type(sprite_count: Column, char_hits: Column, tile_hits: Column, overl
     return F.struct(kind.alias("sheet_type"), F.round(confidence, 4).alias("confidence"), F.round(n, 4).alias("normalised"))
 
 
-def hash_pairs(hashes: DataFrame, id_col: str, hash_col: str, within: int) -> DataFrame:
-    """(id_a, id_b, distance): pairs of 16-digit hashes at most ``within`` bits apart. Hashes are
-    cut into within + 1 parts, of which one must be equal: an equality join, then a count of bits."""
+def hash_pairs(hashes: DataFrame, id_col: str, hash_col: str, within: int = 3) -> DataFrame:
+    """(id_a, id_b, distance): pairs of 16-digit hashes at most ``within`` bits apart.
+
+    A hash is cut into within // 2 + 1 segments, so in one of them a pair differs by at most one
+    bit. Each segment is filed once for each of its bits, with that bit cleared: pairs meet by an
+    equality join, are counted once and verified by their bits. Distinct hashes are compared; ids are
+    joined to the pairs that are found, and equal hashes are pairs as well. A radius whose segments
+    would have fewer than 16 bits is refused: such keys would bring together a share of all pairs."""
+    n = within // 2 + 1
+    if 64 // n < 16:
+        raise ValueError("no selective key for so wide a radius")
     half = [F.conv(F.substring(hash_col, at, 8), 16, 10).cast("long") for at in (1, 9)]
-    digits = 16 // (within + 1)
-    cuts = [(k * digits, digits if k < within else 16 - within * digits) for k in range(within + 1)]
-    parts = F.array(*(F.struct(F.lit(k).alias("k"), F.substring(hash_col, at + 1, n).alias("v")) for k, (at, n) in enumerate(cuts)))
-    rows = hashes.select(F.col(id_col).alias("id"), half[0].alias("high"), half[1].alias("low"), F.explode(parts).alias("part"))
-    a, b = rows.alias("a"), rows.alias("b")
-    met = a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.id") < F.col("b.id")))
-    bits = F.bit_count(F.col("a.high").bitwiseXOR(F.col("b.high"))) + F.bit_count(F.col("a.low").bitwiseXOR(F.col("b.low")))
-    return met.select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"), bits.alias("distance")).filter(F.col("distance") <= within).distinct()
+    rows = hashes.select(F.col(id_col).alias("id"), F.shiftleft(half[0], 32).bitwiseOR(half[1]).alias("h"))
+    variants = []
+    for k in range(n):
+        first, bits = 64 * k // n, 64 * (k + 1) // n - 64 * k // n
+        part = F.shiftrightunsigned("h", first).bitwiseAND(F.lit((1 << bits) - 1)) if bits < 64 else F.col("h")
+        clear = [F.lit(~(1 << i) if i < 63 else (1 << 63) - 1) for i in range(bits)]
+        variants += [F.struct(F.lit(64 * k + i).alias("k"), part.bitwiseAND(c).alias("v")) for i, c in enumerate(clear)]
+    keyed = rows.select("h").distinct().select("h", F.explode(F.array(*variants)).alias("part"))
+    a, b = keyed.alias("a"), keyed.alias("b")
+    apart = F.bit_count(F.col("a.h").bitwiseXOR(F.col("b.h")))
+    near = a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.h") < F.col("b.h")))
+    near = near.select(F.col("a.h").alias("x"), F.col("b.h").alias("y"), apart.alias("distance")).filter(F.col("distance") <= within).distinct()
+    own = rows.select("h").distinct().select(F.col("h").alias("x"), F.col("h").alias("y"), F.lit(0).alias("distance"))
+    left, right = rows.select(F.col("id").alias("i"), F.col("h").alias("x")), rows.select(F.col("id").alias("j"), F.col("h").alias("y"))
+    met = near.union(own).join(left, "x").join(right, "y").filter((F.col("x") != F.col("y")) | (F.col("i") < F.col("j")))
+    return met.select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"), "distance").filter("id_a < id_b").distinct()

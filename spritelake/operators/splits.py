@@ -39,6 +39,11 @@ def split(rows: DataFrame, id_col: str, ratio: float = 0.1, seed: int = 42, stra
     return ranked.withColumn("split", F.when(val, "val").otherwise("train")).drop("__g", "__h", "__p", "__b", "__n", "__r")
 
 
+def corpus_batch(day: Column, second_from: str) -> Column:
+    """1 for what was there before a day, 2 from it on; null days belong to the first."""
+    return F.when(day >= F.lit(second_from).cast("date"), 2).otherwise(1)
+
+
 def bernoulli(rows: DataFrame, key: str, percent: int = 10, seed: int = 0) -> DataFrame:
     """``rows`` with split, decided for each key by itself by a hash."""
     share = F.pmod(F.conv(F.substring(shuffle_key(seed, key), 1, 8), 16, 10).cast("long"), F.lit(100))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from spritelake.functions.color import outline_score
 from spritelake.functions.rules import first_match
+from spritelake.operators import ordering
 
 GATE, BORDER = 85, 70
 HIGH_SHARE = 0.8
@@ -91,8 +92,8 @@ def anomalies(scores: DataFrame, pack_col: str = "pack") -> DataFrame:
     """``scores`` with reasons (H1 good score with failures, H2 bad score in a good pack, H3
     extreme sides) and final_bucket. Tilesets are exempt but count in their packs' shares."""
     limits = rank_thresholds(scores.filter("NOT is_tileset"))
-    shares = scores.groupBy(pack_col).agg(F.avg(F.when(F.col("bucket") == "A_autopass", 1.0).otherwise(0.0)).alias("a_share"))
-    rows = scores.join(shares, pack_col).crossJoin(F.broadcast(limits))  # limits are one row
+    shares = scores.groupBy(F.col(pack_col).alias("__pack")).agg(F.avg(F.when(F.col("bucket") == "A_autopass", 1.0).otherwise(0.0)).alias("a_share"))
+    rows = scores.join(shares, F.col(pack_col).eqNullSafe(F.col("__pack"))).drop("__pack").crossJoin(F.broadcast(limits))  # limits are one row
     sides = F.greatest("width", "height") / F.greatest(F.least("width", "height"), F.lit(1))
     reasons = F.filter(
         F.array(
@@ -131,6 +132,30 @@ def calibration(decisions: DataFrame, scores: DataFrame, key: str = "sprite_id")
     return rows.withColumn("verdict", verdict)
 
 
+def constant_rubric(letter: str) -> Column:
+    """Rubrics B and C: fixed parts that never reach the gate, as a struct of total and passed."""
+    total = {"B": 80, "C": 75}[letter]
+    return F.struct(F.lit(total).alias("total_score"), F.lit(False).alias("passed"))
+
+
+def batches(rows: DataFrame, keys: tuple[str, ...], order: str, passed: Column, size: int = 100, share: float = 0.99) -> DataFrame:
+    """(keys, batch, n, passed, ok): of each batch of ``size`` completions in order, how many pass,
+    and whether that is enough."""
+    placed = ordering.running(rows.select(*keys, order, passed.alias("__passed")), [order], {}, keys)
+    out = placed.groupBy(*keys, F.floor((F.col("place") - 1) / size).alias("batch"))
+    out = out.agg(F.count("*").alias("n"), F.sum(F.col("__passed").cast("int")).alias("passed"))
+    return out.withColumn("ok", F.col("passed") >= F.col("n") * share)
+
+
+def failure_clusters(rows: DataFrame, key: str, cluster: list[str], order: str, passed: Column, least: float = 0.90) -> DataFrame:
+    """(cluster, n, least_rate): failures at which the running pass rate of their group is below
+    ``least``, counted by cluster."""
+    plain = rows.select(*dict.fromkeys([key, *cluster, order]), passed.alias("__passed"))
+    at = ordering.running(plain, [order], {"good": F.col("__passed").cast("int")}, (key,))
+    rate = F.col("good") / F.col("place")
+    return at.filter(~F.col("__passed") & (rate < least)).groupBy(*cluster).agg(F.count("*").alias("n"), F.min(rate).alias("least_rate"))
+
+
 def disagreement_modes(calibrated: DataFrame) -> DataFrame:
     """(verdict, mode, n) of permissive and strict decisions; ``no_flag`` where no mode is named."""
     rows = calibrated.filter(F.col("verdict").isin("permissive", "strict"))

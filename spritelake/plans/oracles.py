@@ -104,10 +104,11 @@ CALIBRATED = f"""{MANIFEST},
     cal0 AS (SELECT dec.*, coalesce(m.total_score, at_decision, -1) AS total_score, coalesce(m.modes, []) AS modes FROM dec LEFT JOIN (SELECT * FROM man WHERE sprite_id % 4 <> 0) m ON m.sprite_id = dec.sprite_id),
     cal AS (SELECT *, CASE WHEN decision = 'reject' AND total_score >= 85 THEN 'permissive' WHEN decision = 'accept' AND total_score < 85 THEN 'strict'
             WHEN decision = 'flag_recalibration' THEN 'flagged' ELSE 'agreed' END AS verdict FROM cal0)"""
+COMPLETIONS = "done AS (SELECT doc_id, lang, source, CASE WHEN n_chars % 97 = 0 THEN n_chars % 60 + 30 ELSE 95 + n_chars % 6 END AS score FROM documents)"
 BINS = """bins AS (SELECT vec_id AS sprite_id, label AS pack, list_distinct(list_transform(embedding, lambda v: CAST(floor((CAST(v AS DOUBLE) + 0.6) * 100) AS INTEGER))) AS p FROM embeddings)"""
 JACCARD = "CAST(len(list_intersect(a.p, b.p)) AS DOUBLE) / (len(a.p) + len(b.p) - len(list_intersect(a.p, b.p)))"
-OVERLAP = f"""rows0 AS (SELECT vec_id AS id, label AS sheet, list_distinct(list_transform(embedding, lambda v: CAST(floor((CAST(v AS DOUBLE) + 0.6) * CASE WHEN label % 3 = 0 THEN 20 WHEN label % 3 = 1 THEN 60 ELSE 120 END) AS INTEGER))) AS p
-        FROM embeddings WHERE vec_id % 50 < (label % 5 + 1) * 8 + 2),
+OVERLAP = f"""rows0 AS (SELECT vec_id AS id, CAST(label * 100 + length(bin(vec_id)) AS BIGINT) AS sheet, list_distinct(list_transform(embedding, lambda v: CAST(floor((CAST(v AS DOUBLE) + 0.6) * CASE WHEN label % 3 = 0 THEN 20 WHEN label % 3 = 1 THEN 60 ELSE 120 END) AS INTEGER))) AS p
+        FROM embeddings),
     kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sheet ORDER BY id) AS k FROM rows0) t WHERE k <= 24),
     prs AS (SELECT a.sheet, {JACCARD} AS j, row_number() OVER (PARTITION BY a.sheet ORDER BY md5('42:' || a.id || ':' || b.id)) AS r FROM kept a JOIN kept b ON a.sheet = b.sheet AND a.k < b.k),
     ov AS (SELECT sheet, avg(j) AS overlap FROM prs WHERE r <= 12 GROUP BY 1)"""
@@ -233,7 +234,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(pack AS BIGINT) AS pack, total, hits, hits / CAST(total AS DOUBLE) AS rate FROM g WHERE hits / CAST(total AS DOUBLE) > 0.5""",
     "clean_deviation": f"""WITH {ARTIFACT}, g AS (SELECT count(*) FILTER (reason <> 'keep') AS deleted, count(*) AS total FROM art),
         h AS (SELECT deleted, total, abs(deleted - total * 0.7::DOUBLE) / (total * 0.7::DOUBLE) AS off FROM g) SELECT *, off <= 0.05::DOUBLE AS within FROM h""",
-    "pack_quarantine": f"""WITH {PACKS}, q AS (SELECT CASE WHEN id % 101 = 0 THEN pack || id ELSE pack END AS pack FROM packs),
+    "pack_quarantine": f"""WITH {PACKS}, q AS (SELECT CASE WHEN id % 89 = 0 THEN NULL WHEN id % 101 = 0 THEN pack || id ELSE pack END AS pack FROM packs),
         t AS (SELECT pack, count(*) OVER (PARTITION BY pack) AS total, lower(pack) AS p FROM q),
         c AS (SELECT pack, CASE WHEN pack LIKE 'texture-%' OR starts_with(pack, 'texture_') THEN 'texture_packs'
             WHEN contains(p, '1-bit-pack') OR (contains(p, 'monochrome') AND contains(p, 'kenney'))
@@ -267,7 +268,7 @@ ORACLE_SQL: dict[str, str] = {
         CAST(a3 AS BIGINT) AS A3_readability, CAST(15 AS BIGINT) AS A4_animation, array_to_string(modes, ',') AS failure_modes, bucket FROM scores""",
     "bucket_counts": f"WITH {SCORES} SELECT bucket, count(*) AS n, avg(total_score) AS mean_score FROM scores GROUP BY 1",
     "rank_thresholds": f"WITH {SCORES}, {LIMITS} SELECT CAST(top5 AS BIGINT) AS top5, CAST(bottom10 AS BIGINT) AS bottom10 FROM lim",
-    "anomaly_h1_h2_h3": f"""WITH {SCORES}, {LIMITS}, sh AS (SELECT *, avg(CASE WHEN bucket = 'A_autopass' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY pack) AS share FROM scores),
+    "anomaly_h1_h2_h3": f"""WITH {SCORES}, {LIMITS}, sh AS (SELECT *, avg(CASE WHEN bucket = 'A_autopass' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY CASE WHEN sprite_id % 13 <> 4 THEN pack END) AS share FROM scores),
         r AS (SELECT sprite_id, bucket, CASE WHEN is_tileset THEN [] ELSE list_filter([CASE WHEN total_score >= top5 AND len(modes) > 0 THEN 'H1' END, CASE WHEN total_score <= bottom10 AND share > 0.8 THEN 'H2' END,
               CASE WHEN greatest(width, height) / CAST(greatest(least(width, height), 1) AS DOUBLE) > 4.0 THEN 'H3' END], lambda v: v IS NOT NULL) END AS reasons FROM sh, lim)
         SELECT sprite_id, array_to_string(reasons, ',') AS reasons, CASE WHEN len(reasons) > 0 THEN 'D_anomaly' ELSE bucket END AS final_bucket FROM r""",
@@ -298,8 +299,12 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, genre, CASE WHEN n > 1 AND k <= greatest(1, round_even(n * 0.2::DOUBLE, 0)) THEN 'val' ELSE 'train' END AS split FROM r""",
     "split_bernoulli": """SELECT CASE WHEN CAST('0x' || substr(md5('0:' || doc_id), 1, 8) AS BIGINT) % 100 < 10 THEN 'val' ELSE 'train' END AS split, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM documents GROUP BY 1""",
     "ahash": f"WITH {GRAY_HASH} SELECT vec_id, hash FROM hx",
-    "hash_near_dupes": f"""WITH {GRAY_HASH}, p AS (SELECT a.vec_id AS id_a, b.vec_id AS id_b, CAST(list_sum(list_transform(range(64), lambda i: abs(a.bits[i + 1] - b.bits[i + 1]))) AS BIGINT) AS distance
-        FROM hx a JOIN hx b ON a.vec_id < b.vec_id) SELECT * FROM p WHERE distance <= 15""",
+    "hash_near_dupes": """WITH g AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS g FROM embeddings),
+        e AS (SELECT * FROM g UNION ALL SELECT vec_id + 1000000, list_transform(range(64), lambda i: CASE WHEN i % 32 = vec_id % 32 THEN -g[i + 1] ELSE g[i + 1] END) FROM g),
+        hx AS (SELECT vec_id, list_transform(range(64), lambda i: CASE WHEN g[i + 1] >= list_reduce(list_prepend(0.0::DOUBLE, g), lambda a, b: a + b) / 64 THEN 1 ELSE 0 END) AS bits FROM e),
+        w AS (SELECT vec_id, CAST(list_reduce(list_transform(range(64), lambda i: CAST(bits[i + 1] AS HUGEINT) << (63 - i)), lambda a, b: a + b) AS UBIGINT) AS h FROM hx),
+        p AS (SELECT a.vec_id AS id_a, b.vec_id AS id_b, CAST(bit_count(CAST(xor(a.h, b.h) AS BIT)) AS BIGINT) AS distance FROM w a JOIN w b ON a.vec_id < b.vec_id)
+        SELECT * FROM p WHERE distance <= 3""",
     "md5_dupes": "SELECT substr(md5(text), 1, 16) AS hash, count(*) AS n, min(doc_id) AS first_id FROM documents GROUP BY 1 HAVING count(*) > 1",
     "manifest_gap": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "provenance_gate": "SELECT conv_id * 3 IN (SELECT doc_id FROM documents) AS in_manifest, count(*) AS n FROM conversations GROUP BY 1",
@@ -320,7 +325,8 @@ ORACLE_SQL: dict[str, str] = {
                string_split(path, '/')[1] AS pack, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END AS rest FROM p""",
     "source_infos": """WITH p AS (SELECT doc_id % 6 AS k FROM documents)
         SELECT ['Kenney.nl', 'OpenGameArt (LPC)', 'Dungeon Crawl Stone Soup', 'OpenGameArt contributor', 'LPC Community', 'Unknown'][k + 1] AS creator,
-               ['CC0', 'CC-BY-SA', 'CC0', 'CC0', 'CC-BY-SA', 'CC0'][k + 1] AS license, count(*) AS n FROM p GROUP BY 1, 2""",
+               ['CC0', 'CC-BY-SA', 'CC0', 'CC0', 'CC-BY-SA', 'CC0'][k + 1] AS license,
+               CASE WHEN k = 5 THEN '' WHEN k IN (1, 4) THEN 'https://creativecommons.org/licenses/by-sa/3.0/' ELSE 'https://creativecommons.org/publicdomain/zero/1.0/' END AS url, count(*) AS n FROM p GROUP BY 1, 2, 3""",
     "pack_resolution": """WITH d AS (SELECT ['kenney', 'opengameart', 'direct'][doc_id % 3 + 1] AS source, CASE WHEN doc_id % 9 = 2 THEN 'lpc_base' ELSE source END AS pack FROM documents),
         k AS (SELECT source, pack, pack IN ('src1', 'src7') AND source <> 'direct' AS hit FROM (SELECT ['kenney', 'opengameart', 'direct'][doc_id % 3 + 1] AS source, CASE WHEN doc_id % 9 = 2 THEN 'lpc_base' ELSE documents.source END AS pack FROM documents) t)
         SELECT source, CASE WHEN hit THEN 'known' WHEN source = 'kenney' THEN 'inferred' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'lpc_base' ELSE 'quarantine' END AS how,
@@ -336,11 +342,12 @@ ORACLE_SQL: dict[str, str] = {
     "harvest_stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "ramp_compliance": f"""WITH {PX}, {USED}, u AS (SELECT DISTINCT pack, r * 65536 + g * 256 + b AS c FROM used), ramp AS (SELECT DISTINCT c FROM u WHERE pack % 3 = 0),
         o AS (SELECT pack, count(*) FILTER (c NOT IN (SELECT c FROM ramp)) AS off_ramp FROM u GROUP BY 1) SELECT CAST(pack AS BIGINT) AS pack, off_ramp, off_ramp <= 2 AS compliant FROM o""",
-    "batch_pass_rate": f"""WITH {MANIFEST}, r AS (SELECT *, (row_number() OVER (PARTITION BY bucket, source ORDER BY sprite_id) - 1) // 10 AS batch FROM man),
-        g AS (SELECT bucket, source, batch, count(*) AS n, count(*) FILTER (total_score >= 60) AS passed FROM r GROUP BY 1, 2, 3) SELECT *, passed >= n * 0.99::DOUBLE AS ok FROM g""",
-    "rolling_pass_rate": f"""WITH {MANIFEST}, r AS (SELECT lang, avg(CASE WHEN total_score >= 60 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY lang, source ORDER BY sprite_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS rate FROM man)
-        SELECT lang, count(*) AS n, min(rate) AS least FROM r WHERE rate < 0.5 GROUP BY 1""",
-    "token_count_split": "SELECT n_chars > 1500 AS long, count(*) AS n, avg(CASE WHEN n_chars % 60 >= 20 THEN 1.0 ELSE 0.0 END) AS rate FROM documents GROUP BY 1",
+    "batch_pass_rate": f"""WITH {COMPLETIONS}, r AS (SELECT *, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 100 AS batch FROM done),
+        g AS (SELECT lang, batch, count(*) AS n, count(*) FILTER (score >= 95) AS passed FROM r GROUP BY 1, 2) SELECT *, passed >= n * 0.99::DOUBLE AS ok FROM g""",
+    "rolling_pass_rate": f"""WITH {COMPLETIONS}, r AS (SELECT *, avg(CASE WHEN score >= 95 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY lang ORDER BY doc_id) AS rate FROM done)
+        SELECT lang, source, count(*) AS n, min(rate) AS least_rate FROM r WHERE score < 95 AND rate < 0.99 GROUP BY 1, 2""",
+    "token_count_split": """WITH g AS (SELECT n_chars > 1500 AS long, count(*) AS n, avg(CASE WHEN n_chars % 60 >= 20 THEN 1.0 ELSE 0.0 END) AS rate FROM documents GROUP BY 1)
+        SELECT *, long AND rate < 0.70 AS failed FROM g""",
     "empty_cells": f"""WITH {SHEET(8)}, c AS (SELECT sheet, k // 4 AS row, k % 4 AS col FROM (SELECT DISTINCT sheet FROM sheet_px) s, (SELECT unnest(range(16)) AS k) n),
         u AS (SELECT DISTINCT sheet, y // 8 AS row, x // 8 AS col FROM sheet_px WHERE idx > 2)
         SELECT c.sheet, CAST(c.row AS BIGINT) AS row, CAST(c.col AS BIGINT) AS col FROM c LEFT JOIN u ON u.sheet = c.sheet AND u.row = c.row AND u.col = c.col WHERE u.sheet IS NULL""",
@@ -352,6 +359,38 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(pack AS BIGINT) AS pack, CAST(idx_a AS BIGINT) AS idx_a, CAST(idx_b AS BIGINT) AS idx_b, CAST(d AS BIGINT) AS distance_sq FROM p WHERE d < 14400""",
     "rollback_scope": """WITH l AS (SELECT o_custkey, max(o_orderkey % 5) AS version FROM orders GROUP BY 1)
         SELECT version, count(*) AS n FROM orders o JOIN l ON l.o_custkey = o.o_custkey WHERE o_orderkey % 5 < version GROUP BY 1""",
+    "rubric_dispatch": """WITH t AS (SELECT ['Character', 'enemy_idle', 'NPC', 'portrait', 'hit_effect', 'Boss', 'tileset', 'tile_16', 'parallax_far', 'Background', 'misc', 'boss_background'][p_partkey % 12 + 1] AS asset_type FROM part),
+        r AS (SELECT asset_type, CASE WHEN asset_type IN ('tileset', 'tile_16') THEN 'B' WHEN asset_type IN ('parallax_far', 'Background') THEN 'C' ELSE 'A' END AS rubric, asset_type = 'hit_effect' AS is_effect FROM t)
+        SELECT asset_type, rubric, is_effect, count(*) AS n, CAST(CASE rubric WHEN 'B' THEN 80 WHEN 'C' THEN 75 END AS BIGINT) AS constant_total FROM r GROUP BY 1, 2, 3""",
+    "issue_modes": """WITH m(i, mode) AS (VALUES (0, 'pillow_shading_detected'), (1, 'banding_detected'), (2, 'outline_issue'), (3, 'outline_issue'), (4, 'low_fill'), (5, 'palette_bloat')),
+        d AS (SELECT DISTINCT doc_id, unnest([doc_id % 8, doc_id % 5, doc_id % 3 + 5]) AS i FROM documents),
+        f AS (SELECT DISTINCT doc_id, mode FROM d JOIN m ON m.i = d.i) SELECT mode, count(*) AS n FROM f GROUP BY 1""",
+    "black_colors": f"""WITH {PX}, {USED} SELECT CAST(pack AS BIGINT) AS pack, count(*) AS colors, count(*) FILTER (greatest(r, g, b) < 20) AS black FROM used GROUP BY 1""",
+    "sibling_meta": """WITH f AS (SELECT p_brand || '/' || p_size AS folder, p_partkey % 37 = 0 AS meta FROM part),
+        h AS (SELECT folder, bool_or(meta) AS has_meta, count(*) AS k FROM f GROUP BY 1) SELECT has_meta, CAST(sum(k) AS BIGINT) AS n, count(*) AS folders FROM h GROUP BY 1""",
+    "zip_by_position": """WITH a AS (SELECT c_nationkey AS sheet, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer),
+        b AS (SELECT s_nationkey AS sheet, s_suppkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS place FROM supplier)
+        SELECT CAST(a.sheet AS BIGINT) AS sheet, a.place, c_custkey, s_suppkey FROM a JOIN b ON a.sheet = b.sheet AND a.place = b.place""",
+    "pipeline_counters": f"""WITH {ARTIFACT} SELECT count(*) AS seen, count(*) FILTER (reason = 'keep') AS kept, count(*) FILTER (reason <> 'keep') AS removed, CAST(64 * count(*) FILTER (reason = 'keep') AS BIGINT) AS tokens, count(DISTINCT pack) AS packs FROM art""",
+    "first_unscored": "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 50",
+    "light_fill": f"""WITH {PX}, l AS (SELECT sprite_id, x, y, idx NOT IN (0, 5) AS seen, r * 0.299::DOUBLE + g * 0.587::DOUBLE + b * 0.114::DOUBLE AS v FROM px)
+        SELECT sprite_id, avg(CASE WHEN seen THEN 1.0 ELSE 0.0 END) AS fill, round(sum(v * x) FILTER (seen) / nullif(sum(v) FILTER (seen), 0), 6) AS light_x,
+               round(sum(v * y) FILTER (seen) / nullif(sum(v) FILTER (seen), 0), 6) AS light_y FROM l GROUP BY 1""",
+    "batch_routing": "SELECT CAST(CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-15' THEN 2 ELSE 1 END AS BIGINT) AS corpus_batch, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
+    "kept_labels": """SELECT CASE WHEN p_size % 3 = 0 THEN p_brand ELSE lower(string_split(p_type, ' ')[1]) END AS label, p_size % 3 = 0 AS label_kept, count(*) AS n FROM part GROUP BY 1, 2""",
+    "records_from_files": f"""WITH {PX}, s AS (SELECT sprite_id, any_value(pack) AS pack, list(idx ORDER BY i) AS grid FROM px GROUP BY 1)
+        SELECT sprite_id, CAST(pack AS BIGINT) AS pack, CAST(CASE WHEN sprite_id % 9 <> 0 THEN 8 END AS BIGINT) AS rows, CASE WHEN sprite_id % 9 <> 0 THEN array_to_string(grid[1:8], '') END AS first_row FROM s""",
+    "manifest_from_files": "SELECT doc_id % 4 <> 3 AS in_manifest, count(*) AS n FROM documents GROUP BY 1",
+    "split_manifest": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS n FROM documents),
+        s AS (SELECT doc_id, CASE WHEN k <= greatest(1, round_even(n * 0.1::DOUBLE, 0)) THEN 'val' ELSE 'train' END AS split FROM r) SELECT split, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM s GROUP BY 1""",
+    "moved_packs": f"""WITH {PACKS}, t AS (SELECT pack, lower(pack) AS p FROM packs),
+        c AS (SELECT starts_with(pack, 'texture-') OR starts_with(pack, 'texture_') OR contains(p, '1-bit-pack') OR (contains(p, 'monochrome') AND contains(p, 'kenney'))
+              OR p IN ('colored-transparent', 'colored-transparent_packed', 'monochrome-transparent', 'monochrome-transparent_packed')
+              OR (contains(p, 'micro-roguelike') AND (contains(p, 'monochrome') OR contains(p, 'colored'))) OR regexp_matches(p, '(black|blonde|brown1|brown2|grey|red)(man|woman)\\d')
+              OR contains(p, '_outline') OR ends_with(p, 'outline') AS gone FROM t)
+        SELECT count(*) FILTER (gone) AS moved, count(*) FILTER (NOT gone) AS left, CAST(0 AS BIGINT) AS errors FROM c""",
+    "resumable_scores": """WITH s AS (SELECT event_id, 25 - CASE WHEN length(props) % 90 > 60 THEN least(15, (length(props) % 90 - 60) // 4) WHEN length(props) % 90 > 30 THEN 5 ELSE 0 END AS score FROM events)
+        SELECT CAST(score AS BIGINT) AS score, count(*) AS n, count(DISTINCT event_id) AS events, TRUE AS halted FROM s GROUP BY 1""",
     "pricing_summary": """SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(sum(l_quantity), 2) AS quantity, count(*) AS n
         FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY 1, 2""",
 }

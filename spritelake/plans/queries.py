@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from spritelake.functions import color, grids, kernels, rules
 from spritelake.operators import banding, cleaning, indexing, provenance, raster, similarity, splits, triage
 from spritelake.plans import fixtures as fx
+from spritelake.session import shared_path
+from spritelake.sources import files
 from spritelake.streaming import harvest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -320,7 +322,8 @@ def clean_deviation(spark, sf_dir):
 
 @query
 def pack_quarantine(spark, sf_dir):
-    rows = fx.packs(spark, sf_dir).withColumn("pack", F.when(F.col("id") % 101 == 0, F.concat("pack", F.col("id").cast("string"))).otherwise(F.col("pack")))
+    pack = F.when(F.col("id") % 89 == 0, F.lit(None)).when(F.col("id") % 101 == 0, F.concat("pack", F.col("id").cast("string"))).otherwise(F.col("pack"))
+    rows = fx.packs(spark, sf_dir).withColumn("pack", pack)
     return cleaning.quarantined(rows).groupBy("quarantine").agg(F.count("*").alias("n"), F.count_distinct("pack").alias("packs"))
 
 
@@ -344,7 +347,7 @@ def size_class_stats(spark, sf_dir):
 def running_breaker(spark, sf_dir):
     rows = _words(spark, sf_dir)
     suspect = cleaning.native_format(F.col("side"), F.col("colors")) == "jpeg_suspect"
-    return cleaning.breaker(rows, "doc_id", suspect, 16)
+    return cleaning.breaker(rows, "doc_id", suspect)
 
 
 def _classes(spark, sf_dir) -> DataFrame:
@@ -441,7 +444,8 @@ def rank_thresholds(spark, sf_dir):
 
 @query
 def anomaly_h1_h2_h3(spark, sf_dir):
-    found = triage.anomalies(_scores(spark, sf_dir))
+    rows = _scores(spark, sf_dir).withColumn("pack", F.when(F.col("sprite_id") % 13 != 4, F.col("pack")))  # some have no pack
+    found = triage.anomalies(rows)
     return found.select("sprite_id", F.array_join("reasons", ",").alias("reasons"), "final_bucket")
 
 
@@ -506,11 +510,11 @@ def palette_jaccard_pairs(spark, sf_dir):
 
 
 def _overlap_sheets(spark, sf_dir) -> DataFrame:
-    """Sheets of 8, 16 ... 40 sprites with coarser or finer palettes."""
-    rows = fx.table(spark, sf_dir, "embeddings").filter("vec_id % 50 < (label % 5 + 1) * 8 + 2")
+    """All sprites on sheets of growing sizes, by label and length of the id, with coarser or finer palettes."""
+    rows = fx.table(spark, sf_dir, "embeddings")
     scale = F.when(F.col("label") % 3 == 0, 20).when(F.col("label") % 3 == 1, 60).otherwise(120)
     bins = F.array_distinct(F.transform("embedding", lambda v: F.floor((v.cast("double") + 0.6) * scale).cast("int")))
-    return rows.select(F.col("vec_id").alias("sprite_id"), F.col("label").alias("sheet"), bins.alias("palette"))
+    return rows.select(F.col("vec_id").alias("sprite_id"), (F.col("label") * 100 + F.length(F.bin("vec_id"))).cast("long").alias("sheet"), bins.alias("palette"))
 
 
 @query
@@ -562,7 +566,11 @@ def ahash(spark, sf_dir):
 
 @query
 def hash_near_dupes(spark, sf_dir):
-    return similarity.hash_pairs(_hashes(spark, sf_dir), "vec_id", "hash", 15)
+    """Each grid and a second one in which every 32nd cell is turned round: pairs at most three bits apart."""
+    rows = fx.table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("g"))
+    turned = F.transform("g", lambda v, i: F.when(i % 32 == F.col("vec_id") % 32, -v).otherwise(v))
+    both = rows.union(rows.select((F.col("vec_id") + 1_000_000).alias("vec_id"), turned.alias("g")))
+    return similarity.hash_pairs(both.select("vec_id", grids.average_hash(F.col("g")).alias("hash")), "vec_id", "hash", 3)
 
 
 @query
@@ -620,7 +628,8 @@ def source_infos(spark, sf_dir):
     roots = ["kenney/a", "opengameart/lpc_x", "opengameart/dungeon_crawl", "opengameart/y", "direct/z", "other/q"]
     path = F.get(F.array(*map(F.lit, roots)), (F.col("doc_id") % 6).cast("int"))
     info = provenance.source_info(path)
-    return fx.table(spark, sf_dir, "documents").groupBy(info["creator"].alias("creator"), info["license"].alias("license")).agg(F.count("*").alias("n"))
+    names = [info[c].alias(c) for c in ("creator", "license", "url")]
+    return fx.table(spark, sf_dir, "documents").groupBy(*names).agg(F.count("*").alias("n"))
 
 
 @query
@@ -688,30 +697,32 @@ def ramp_compliance(spark, sf_dir):
     return packs.withColumn("compliant", F.col("off_ramp") <= 2)
 
 
+def _completions(spark, sf_dir) -> DataFrame:
+    """Documents as completions with a score by length: most reach 95."""
+    docs = fx.table(spark, sf_dir, "documents")
+    score = F.when(F.col("n_chars") % 97 == 0, F.col("n_chars") % 60 + 30).otherwise(95 + F.col("n_chars") % 6)
+    return docs.select("doc_id", "lang", "source", score.alias("score"))
+
+
 @query
 def batch_pass_rate(spark, sf_dir):
-    """Per hundred completions of a bucket, whether 99 reach the score."""
-    rows = _manifest(spark, sf_dir)
-    at = F.row_number().over(Window.partitionBy("bucket", "source").orderBy("sprite_id")) - 1
-    rows = rows.withColumn("batch", F.floor(at / 10))
-    out = rows.groupBy("bucket", "source", "batch").agg(F.count("*").alias("n"), F.sum(F.when(F.col("total_score") >= 60, 1).otherwise(0)).alias("passed"))
-    return out.withColumn("ok", F.col("passed") >= F.col("n") * 0.99)
+    """Per hundred completions of a rubric (a language stands for it), whether 99 reach a score of 95."""
+    return triage.batches(_completions(spark, sf_dir), ("lang",), "doc_id", F.col("score") >= 95)
 
 
 @query
 def rolling_pass_rate(spark, sf_dir):
-    """Languages whose last ten documents, at any point, passed in fewer than half."""
-    w = Window.partitionBy("lang", "source").orderBy("sprite_id").rowsBetween(-9, 0)
-    rows = _manifest(spark, sf_dir).withColumn("rate", F.avg(F.when(F.col("total_score") >= 60, 1.0).otherwise(0.0)).over(w))
-    return rows.filter("rate < 0.5").groupBy("lang").agg(F.count("*").alias("n"), F.min("rate").alias("least"))
+    """Failures while the running pass rate of their language is below 0.99, by language and source."""
+    return triage.failure_clusters(_completions(spark, sf_dir), "lang", ["lang", "source"], "doc_id", F.col("score") >= 95, 0.99)
 
 
 @query
 def token_count_split(spark, sf_dir):
-    """Pass rates of short and long assets."""
+    """Pass rates of short and long assets; the long ones fail below 0.7."""
     docs = fx.table(spark, sf_dir, "documents")
     long = F.col("n_chars") > 1500
-    return docs.groupBy(long.alias("long")).agg(F.count("*").alias("n"), F.avg(F.when(F.col("n_chars") % 60 >= 20, 1.0).otherwise(0.0)).alias("rate"))
+    rates = docs.groupBy(long.alias("long")).agg(F.count("*").alias("n"), F.avg(F.when(F.col("n_chars") % 60 >= 20, 1.0).otherwise(0.0)).alias("rate"))
+    return rates.withColumn("failed", F.col("long") & (F.col("rate") < 0.70))
 
 
 @query
@@ -735,11 +746,11 @@ def lpc_layout(spark, sf_dir):
 
 @query
 def near_duplicate_colors(spark, sf_dir):
-    """Pairs of a pack's colours that differ by less than 60: few colours a pack."""
+    """Pairs of a pack's colours that differ by less than 120: few colours a pack."""
     used = fx.pixels(fx.sprites(spark, sf_dir)).filter("idx > 0").select("pack", "idx", "r", "g", "b").distinct()
     a, b = used.alias("a"), used.alias("b")
     gap = color.distance_sq(*(tuple(F.col(f"{t}.{c}") for c in "rgb") for t in "ab"))
-    met = a.join(b, (F.col("a.pack") == F.col("b.pack")) & (F.col("a.idx") < F.col("b.idx")) & (gap < 3600 * 4))
+    met = a.join(b, (F.col("a.pack") == F.col("b.pack")) & (F.col("a.idx") < F.col("b.idx")) & (gap < 120 * 120))
     return met.select(F.col("a.pack").alias("pack"), F.col("a.idx").alias("idx_a"), F.col("b.idx").alias("idx_b"), gap.alias("distance_sq"))
 
 
@@ -760,6 +771,159 @@ def reduce_palette(spark, sf_dir):
     return rows.select("sprite_id", F.size("p").alias("colors"), F.array_join(kept[0], ",").alias("merged"), F.array_join(kept[1], ",").alias("snapped"))
 
 
+@query
+def rubric_dispatch(spark, sf_dir):
+    """Asset types by the rubric that scores them, with the constants of rubrics B and C."""
+    names = ["Character", "enemy_idle", "NPC", "portrait", "hit_effect", "Boss", "tileset", "tile_16", "parallax_far", "Background", "misc", "boss_background"]
+    kind = F.get(F.array(*map(F.lit, names)), (F.col("p_partkey") % len(names)).cast("int"))
+    rows = fx.table(spark, sf_dir, "part").select(kind.alias("asset_type"), rules.asset_rubric(kind).alias("r"))
+    total = F.when(F.col("r.rubric") == "B", triage.constant_rubric("B")["total_score"]).when(F.col("r.rubric") == "C", triage.constant_rubric("C")["total_score"])
+    return rows.groupBy("asset_type", "r.rubric", "r.is_effect").agg(F.count("*").alias("n"), F.max(total).alias("constant_total"))
+
+
+@query
+def issue_modes(spark, sf_dir):
+    """Failure modes by the wording of issue texts."""
+    texts = ["Pillow shading near the rim", "colour BANDING in rows 3-5", "too many black pixels", "Outline broken", "sparse silhouette", "palette has 45 colors", "palette is fine", "seam"]
+    some = F.array(*map(F.lit, texts))
+    k = F.col("doc_id")
+    issues = F.array(F.get(some, (k % 8).cast("int")), F.get(some, (k % 5).cast("int")), F.get(some, (k % 3 + 5).cast("int")))
+    rows = fx.table(spark, sf_dir, "documents").select(F.explode(triage.failure_modes(issues)).alias("mode"))
+    return rows.groupBy("mode").agg(F.count("*").alias("n"))
+
+
+@query
+def black_colors(spark, sf_dir):
+    """Colours of which every channel is below 20."""
+    used = fx.pixels(fx.sprites(spark, sf_dir)).filter("idx > 0").select("pack", "idx", "r", "g", "b").distinct()
+    return used.groupBy("pack").agg(F.count("*").alias("colors"), F.sum(F.when(color.pure_black(F.col("r"), F.col("g"), F.col("b")), 1).otherwise(0)).alias("black"))
+
+
+@query
+def sibling_meta(spark, sf_dir):
+    """Files whose folder also has a tileset_meta file: a join with the folders that have one."""
+    folder = F.concat_ws("/", "p_brand", F.col("p_size").cast("string"))
+    name = F.when(F.col("p_partkey") % 37 == 0, "tileset_meta.json").otherwise(F.concat("p_partkey", F.lit(".png")))
+    files = fx.table(spark, sf_dir, "part").select(folder.alias("folder"), name.alias("name"))
+    return provenance.with_sibling(files, "folder", F.col("name") == "tileset_meta.json", "has_meta").groupBy("has_meta").agg(F.count("*").alias("n"), F.count_distinct("folder").alias("folders"))
+
+
+@query
+def zip_by_position(spark, sf_dir):
+    """Manifest rows and files of a sheet by their places: customers and suppliers of a nation."""
+    rows = fx.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("sheet"), "c_custkey")
+    files = fx.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("sheet"), "s_suppkey")
+    return provenance.zipped(rows, files, "sheet", "c_custkey", "s_suppkey").select("sheet", "place", "c_custkey", "s_suppkey")
+
+
+@query
+def pipeline_counters(spark, sf_dir):
+    """One row of counters over a pass."""
+    rows = _artifacts(spark, sf_dir)
+    kept = F.col("m.reason") == "keep"
+    return rows.agg(
+        F.count("*").alias("seen"), F.sum(F.when(kept, 1).otherwise(0)).alias("kept"), F.sum(F.when(~kept, 1).otherwise(0)).alias("removed"),
+        F.sum(F.when(kept, F.size("grid")).otherwise(0)).alias("tokens"), F.count_distinct("pack").alias("packs"),
+    )
+
+
+@query
+def first_unscored(spark, sf_dir):
+    """The first 50 that have no score, by id: the limit is the feature."""
+    found = provenance.missing_from(fx.table(spark, sf_dir, "documents").select("doc_id"), fx.table(spark, sf_dir, "labels"), "doc_id")
+    return found.orderBy("doc_id").limit(50)
+
+
+@query
+def light_fill(spark, sf_dir):
+    """Fill of each sprite by alpha above 10, and the mean place of its light, if it has any."""
+    px = fx.pixels(fx.sprites(spark, sf_dir)).withColumn("a", F.when(F.col("idx") == 0, 0).when(F.col("idx") == 5, 8).otherwise(255))
+    return indexing.light_fill(px, "sprite_id").select("sprite_id", "fill", F.round("light_x", 6).alias("light_x"), F.round("light_y", 6).alias("light_y"))
+
+
+@query
+def batch_routing(spark, sf_dir):
+    """Rows by the corpus batch that they are routed to: those harvested from a day on are the second."""
+    day = F.to_date("ts")
+    rows = fx.table(spark, sf_dir, "events").withColumn("corpus_batch", splits.corpus_batch(day, "2024-01-15"))
+    return rows.groupBy("corpus_batch").agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
+
+
+@query
+def kept_labels(spark, sf_dir):
+    """Labels that are there are kept and still counted; the others are computed."""
+    rows = fx.table(spark, sf_dir, "part").select(F.when(F.col("p_size") % 3 == 0, F.col("p_brand")).alias("label"), "p_type")
+    done = indexing.fill_missing(rows, "label", F.lower(F.split("p_type", " ")[0]))
+    return done.groupBy("label", "label_kept").agg(F.count("*").alias("n"))
+
+
+@query
+def records_from_files(spark, sf_dir):
+    """Sprites written as a record a line, read back with their schema, grids checked and rebuilt in rows."""
+    rows = fx.sprites(spark, sf_dir).select("sprite_id", "pack", "width", "height", F.when(F.col("sprite_id") % 9 == 0, F.slice("grid", 1, 60)).otherwise(F.col("grid")).alias("grid"))
+    path = shared_path(spark, "records")
+    files.append(rows, path, as_json=True)
+    back = files.json_lines(spark, path, rows.schema)
+    whole = grids.rows_of(F.col("grid"), F.col("width"))
+    return back.select("sprite_id", "pack", F.size(whole).alias("rows"), F.array_join(F.transform(F.get(whole, 0), lambda v: v.cast("string")), "").alias("first_row"))
+
+
+@query
+def manifest_from_files(spark, sf_dir):
+    """Manifests of three shapes written as JSON documents, and a missing one: what is known."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id")
+    rows = docs.select("doc_id", F.concat(F.lit('s"'), F.col("doc_id").cast("string")).alias("sprite_id"))
+    found = files.manifest_ids(spark, shared_path(spark, "nowhere"))
+    for k, shape in enumerate(("records", "ids", "keyed")):
+        path = shared_path(spark, "manifest")
+        files.write_documents(rows.filter(F.col("doc_id") % 4 == k), path, "sprite_id", shape)
+        found = found.unionByName(files.manifest_ids(spark, path))
+    return provenance.in_manifest(rows, found.withColumnRenamed("id", "sprite_id"), "sprite_id").groupBy("in_manifest").agg(F.count("*").alias("n"))
+
+
+@query
+def split_manifest(spark, sf_dir):
+    """Splits written as a manifest for each split and loaded again, checked."""
+    rows = splits.split(fx.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.1).select("doc_id", "split")
+    path = shared_path(spark, "splits")
+    files.write_split_manifest(rows, path, "doc_id")
+    both = [files.load_split(spark, path, name, "doc_id").withColumn("split", F.lit(name)) for name in ("train", "val")]
+    return both[0].unionByName(both[1]).groupBy("split").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
+
+
+@query
+def moved_packs(spark, sf_dir):
+    """Quarantined rows moved to a folder of their own, verified, and what is left of the corpus."""
+    rows = fx.packs(spark, sf_dir).select("id", "pack")
+    gone = cleaning.quarantine(F.col("pack"), F.lit(2)).isNotNull()
+    path = shared_path(spark, "quarantine")
+    moved = files.verified_move(rows.filter(gone), path)
+    rest = rows.join(spark.read.parquet(path).select("id"), "id", "left_anti")
+    left = rest.agg(F.count("*").alias("left"))
+    return left.select(F.lit(moved.rows).alias("moved"), "left", F.lit(len(moved.errors)).alias("errors"))
+
+
+@query
+def resumable_scores(spark, sf_dir):
+    """Scores of a stream in micro-batches; a second run after the first finds nothing new, and an
+    emergency halt stops before a batch."""
+    out, known = shared_path(spark, "scores"), shared_path(spark, "scored")
+
+    def process(df, number: int) -> None:
+        score = triage.technical(F.length("props") % 90)
+        df.select("event_id", score.alias("score")).write.mode("append").parquet(out)
+
+    for k in range(2):
+        source = harvest.stream(spark, f"{sf_dir}/events.parquet").select("event_id", "props")
+        harvest.each_batch(source, "event_id", known, shared_path(spark, f"state{k}"), process).awaitTermination()
+    halt = shared_path(spark, "HALT")
+    spark.range(1).write.parquet(halt)
+    query = harvest.each_batch(harvest.stream(spark, f"{sf_dir}/events.parquet").select("event_id", "props"), "event_id", known, shared_path(spark, "state2"), process, harvest.halt_file(spark, halt))
+    halted = harvest.was_halted(query)
+    done = spark.read.parquet(out)
+    return done.groupBy("score").agg(F.count("*").alias("n"), F.count_distinct("event_id").alias("events")).withColumn("halted", F.lit(halted))
+
+
 @query
 def pricing_summary(spark, sf_dir):
     """An extension over the relational tables: the usual aggregate of line items."""

@@ -6,7 +6,9 @@ import io
 import posixpath
 import zipfile
 from collections.abc import Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,21 +24,24 @@ def images(spark: SparkSession, folder: str, pattern: str = "*.png") -> DataFram
     return rows.select(F.col("image.origin").alias("path"), "image.width", "image.height", F.col("image.nChannels").alias("channels"), "image.data")
 
 
-@F.udtf(returnType=T.StructType([T.StructField(c, T.IntegerType()) for c in ("x", "y", "r", "g", "b", "a")]))
-class Pixels:
-    """The pixels of a decoded image: blue, green, red order; a missing alpha is 255, grey repeats."""
-
-    def eval(self, width: int, channels: int, data: bytes):
-        for i in range(0, len(data), channels):
-            y, x = divmod(i // channels, width)
-            b, g, r = (data[i],) * 3 if channels == 1 else data[i : i + 3]
-            yield x, y, r, g, b, data[i + 3] if channels == 4 else 255
+def _pixels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["path", "x", "y", "r", "g", "b", "a"]
+    for batch in batches:
+        paths, widths, channels = (batch.column(k).to_pylist() for k in range(3))
+        for i in range(batch.num_rows):
+            cells = np.frombuffer(batch.column(3)[i].as_buffer(), np.uint8).reshape(-1, channels[i]).astype(np.int32)
+            b, g, r = (cells[:, 0],) * 3 if channels[i] == 1 else cells.T[:3]
+            alpha = cells[:, 3] if channels[i] == 4 else np.full(len(cells), 255, np.int32)
+            y, x = np.divmod(np.arange(len(cells), dtype=np.int32), np.int32(widths[i]))
+            path = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(cells), np.int32)), pa.array([paths[i]])).dictionary_decode()
+            yield pa.RecordBatch.from_arrays([path, *map(pa.array, (x, y, r, g, b, alpha))], names)
 
 
 def pixels(decoded: DataFrame) -> DataFrame:
-    """(path, x, y, r, g, b, a)."""
-    call = Pixels(F.col("width").outer(), F.col("channels").outer(), F.col("data").outer())
-    return decoded.lateralJoin(call).select("path", "x", "y", "r", "g", "b", "a")
+    """(path, x, y, r, g, b, a) of decoded images: bytes come as blue, green, red; a missing alpha
+    is 255, grey repeats."""
+    rows = decoded.select("path", "width", "channels", "data")
+    return rows.mapInArrow(_pixels, "path string, x int, y int, r int, g int, b int, a int")
 
 
 def png_headers(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,6 +70,39 @@ def manifest(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
 
 
+def manifest_ids(spark: SparkSession, path: str, key: str = "sprite_id") -> DataFrame:
+    """(id): the ids that manifests list, in any of three shapes: an array of records, an array of
+    ids, or an object with ids as its keys. A missing path has no rows; a file is read whole."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], "id string")
+    text = F.trim("value")
+    records = F.transform(F.from_json(text, "array<map<string,string>>"), lambda r: F.get(F.array(r[key]), 0))
+    ids = F.when(text.startswith("{"), F.json_object_keys(text)).when(text.rlike(r"^\[\s*\{"), records).otherwise(F.from_json(text, "array<string>"))
+    rows = spark.read.option("wholetext", True).text(path)
+    return rows.select(F.explode(ids).alias("id")).filter("id IS NOT NULL")
+
+
+def _documents(shape: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [p for batch in batches for p in batch.column(0).to_pylist()]
+        a, b = "{}" if shape == "keyed" else "[]"
+        if parts:
+            yield pa.RecordBatch.from_arrays([pa.array([a + ",".join(parts) + b])], ["value"])
+
+    return run
+
+
+def write_documents(rows: DataFrame, path: str, key: str, shape: str = "records") -> None:
+    """Rows as JSON documents, a file for each partition: an array of ``records``, an array of the
+    ``ids`` in ``key``, or an object of records ``keyed`` by them."""
+    record = F.to_json(F.struct(*rows.columns))
+    name = F.to_json(F.array(F.col(key).cast("string")))
+    name = F.substring(name, F.lit(2), F.length(name) - 2)  # a JSON string
+    part = {"records": record, "ids": name, "keyed": F.concat(name, F.lit(":"), record)}[shape]
+    rows.select(part.alias("part")).mapInArrow(_documents(shape), "value string").write.text(path)
+
+
 def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A record a line; bad lines are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -109,17 +147,43 @@ def append(rows: DataFrame, path: str, partition_by: list[str] | None = None, as
     (writer.json if as_json else writer.parquet)(path)
 
 
-def verified_move(rows: DataFrame, path: str) -> int:
-    """Write rows, read them back and compare counts and a hash sum; returns the count."""
+class Moved(NamedTuple):
+    """What a verified move wrote, and what went wrong."""
+
+    rows: int
+    errors: list[str]
+
+
+def verified_move(rows: DataFrame, path: str, source: str | None = None) -> Moved:
+    """Write rows, read them back and compare counts and a hash sum. Only where both agree is
+    ``source`` (the folder that the rows come from) deleted; a mismatch is an entry in ``errors``."""
+    spark = rows.sparkSession
     rows.write.mode("errorifexists").parquet(path)
 
     def proof(df: DataFrame):
         return df.agg(F.count("*"), F.sum(F.pmod(F.xxhash64(*df.columns), F.lit(1 << 40)))).first()
 
-    wrote, read = proof(rows), proof(rows.sparkSession.read.schema(rows.schema).parquet(path))
+    wrote, read = proof(rows), proof(spark.read.schema(rows.schema).parquet(path))
     if wrote != read:
-        raise OSError(f"{path}: wrote {wrote}, read {read}")
-    return wrote[0]
+        return Moved(read[0], [f"{path}: wrote {tuple(wrote)}, read {tuple(read)}"])
+    if source is not None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(source)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return Moved(read[0], [])
+
+
+def write_split_manifest(rows: DataFrame, path: str, id_col: str, split_col: str = "split") -> None:
+    """The ids of each split in a folder of its own, as JSON records; a manifest that is there is replaced."""
+    rows.select(id_col, split_col).write.mode("overwrite").partitionBy(split_col).json(path)
+
+
+def load_split(spark: SparkSession, path: str, name: str, id_col: str, kind: str = "long") -> DataFrame:
+    """(id): the ids of a split. A missing split raises FileNotFoundError, and a record that is no
+    record of an id raises where it is read."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/split={name}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        raise FileNotFoundError(f"{path}/split={name}")
+    return spark.read.schema(f"{id_col} {kind}").option("mode", "FAILFAST").json(f"{path}/split={name}")
 
 
 def markdown_table(rows: DataFrame, most: int = 1000) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,24 @@ def each_batch(
     return query.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def halt_file(spark: SparkSession, path: str) -> Callable[[], bool]:
+    """Whether the emergency halt file is there, asked anew each time."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return lambda: bool(fs.exists(target))
+
+
+def was_halted(query) -> bool:
+    """Wait for a query's end; whether it was halted. Any other failure is raised."""
+    try:
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if "halted" in str(e):
+            return True
+        raise
+    return False
+
+
 def windows(events: DataFrame, size: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """(start, event_type, n): an extension, counts by event time with late rows up to ``late``."""
     timed = events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)

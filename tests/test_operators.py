@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from spritelake.functions import color, grids, kernels, rules
-from spritelake.operators import banding, cleaning, provenance, raster, similarity, splits, triage
+from spritelake.operators import banding, cleaning, indexing, ordering, provenance, raster, similarity, splits, triage
 from spritelake.sources import files
 from spritelake.streaming import harvest
 
@@ -215,7 +215,9 @@ def test_zip_and_records(spark, tmp_path):
         (tmp_path / name).write_text(json.dumps({"sprite_id": name}))
     assert [r.sprite_id for r in files.sprite_records(spark, str(tmp_path), schema).collect()] == ["s.json"]
     rows = spark.createDataFrame([("a",), ("b",)], schema)
-    assert files.verified_move(rows, str(tmp_path / "moved")) == 2
+    rows.write.parquet(str(tmp_path / "corpus"))
+    moved = files.verified_move(spark.read.parquet(str(tmp_path / "corpus")), str(tmp_path / "moved"), str(tmp_path / "corpus"))
+    assert moved == (2, []) and not (tmp_path / "corpus").exists() and spark.read.parquet(str(tmp_path / "moved")).count() == 2
     assert files.markdown_table(rows.orderBy("sprite_id")).splitlines()[2:] == ["| a |", "| b |"]
     assert provenance.training_gate(rows, True, "PHASE4_ARCHITECTURE_REVIEW: APPROVED") and not provenance.training_gate(rows.limit(0), True, "PHASE4_ARCHITECTURE_REVIEW: APPROVED")
 
@@ -232,7 +234,7 @@ def test_each_batch_takes_rows_once(spark, tmp_path):
 
 def test_breaker_and_cells(spark):
     rows = spark.range(1, 41).withColumn("bad", F.col("id").isin(30, 31, 32))
-    assert tuple(cleaning.breaker(rows, "id", F.col("bad"), 5).first()) == (31, 31, 2)
+    assert tuple(cleaning.breaker(rows, "id", F.col("bad"), 9).first()) == (31, 31, 2)
     px = spark.createDataFrame([(0, 0, 0, True), (0, 9, 9, False)], "sheet long, x int, y int, filled boolean")
     assert {(r.row, r.col) for r in raster.empty_cells(px, 8, 2, 2).collect()} == {(0, 1), (1, 0), (1, 1)}
 
@@ -259,3 +261,96 @@ def test_reduce_palette_merges_whole_palettes(spark, tmp_path):
         packed = sorted(int(np.floor((np.float64(np.float32(x)) + 0.6) * 100)) * 70001 % 16777216 for x in rows[i - 1][2])
         packed = list(dict.fromkeys(packed))
         assert r.colors == sizes[i] == len(packed) and (r.merged, r.snapped) == (slow(packed, False), slow(packed, True))
+
+
+def test_rows_without_pack_stay(spark):
+    rows = spark.createDataFrame([(1, None), (2, "a"), (3, "a"), (4, None), (5, "solo")], "id long, pack string")
+    got = {r.id: (r.pack_total, r.quarantine) for r in cleaning.quarantined(rows).collect()}
+    assert got == {1: (2, None), 2: (2, None), 3: (2, None), 4: (2, None), 5: (1, "ui_elements")}
+    scores = spark.createDataFrame(
+        [(i, None if i % 2 else "p", 16, 16, False, 60 + i, [], "A_autopass") for i in range(10)],
+        "sprite_id long, pack string, width int, height int, is_tileset boolean, total_score int, failure_modes array<string>, bucket string",
+    )
+    found = {r.sprite_id: list(r.reasons) for r in triage.anomalies(scores).collect()}
+    assert len(found) == 10 and found[0] == ["H2"] and found[9] == []  # the lowest in a good pack, which a null one is as well
+
+
+def test_similar_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(i % 25), "b" if i % 3 else None, sorted(set(rng.integers(0, 14, int(rng.integers(0, 9))).tolist()))) for i in range(40)]
+    rows += [rows[4], (3, "b", [1, 2, 3, 4, 5]), (70, "b", [1, 2, 3, 4, 5]), (3, "b", [9, 10, 11])]
+    got = sorted(map(str, similarity.similar_pairs(spark.createDataFrame(rows, "sprite_id long, pack string, palette array<int>"), ["pack"]).collect()))
+    whole, want = sorted({(i, p, tuple(c)) for i, p, c in rows}, key=str), []
+    for a, b in itertools.permutations(whole, 2):
+        x, y = set(a[2]), set(b[2])
+        if a[0] < b[0] and a[1] == b[1] and x and y and len(x & y) / len(x | y) >= 0.6:
+            want.append((a[0], b[0], len(x & y) / len(x | y), a[1]))
+    assert got == sorted(f"Row(id_a={a}, id_b={b}, similarity={s}, pack={p!r})" for a, b, s, p in want)
+
+
+def test_hash_pairs_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 6)]
+    rows = [(i, base[i % 6] ^ sum(1 << int(b) for b in set(rng.integers(0, 64, int(rng.integers(0, 4))).tolist()))) for i in range(50)]
+    df = spark.createDataFrame([(i, f"{h:016x}") for i, h in rows], "id long, hash string")
+    for within in (0, 1, 3, 5):
+        got = sorted((r.id_a, r.id_b, r.distance) for r in similarity.hash_pairs(df, "id", "hash", within).collect())
+        assert got == sorted((i, j, (a ^ b).bit_count()) for (i, a), (j, b) in itertools.combinations(rows, 2) if (a ^ b).bit_count() <= within)
+    with pytest.raises(ValueError):
+        similarity.hash_pairs(df, "id", "hash", 15)
+
+
+def test_places_and_running_sums(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, None if i % 7 == 0 else "hot" if i % 3 else f"k{i % 4}", int(rng.integers(0, 2))) for i in rng.permutation(200).tolist()]
+    got = ordering.running(spark.createDataFrame(rows, "id long, k string, v int"), ["id"], {"total": F.col("v")}, ("k",), 15)
+    want, seen = [], {}
+    for i, k, v in sorted(rows):
+        n, t = seen.get(k, (0, 0))
+        seen[k] = (n + 1, t + v)
+        want.append((i, k, v, *seen[k]))
+    assert sorted(map(tuple, got.collect())) == want and got.columns == ["id", "k", "v", "place", "total"]
+    assert ordering.running(spark.createDataFrame([], "id long"), ["id"], {}).count() == 0
+
+
+def test_hash_kernels_equal_plain_arithmetic(spark):
+    rng = np.random.default_rng(6)
+    gray = rng.integers(0, 256, (5, 1024))
+    rows = spark.createDataFrame([(g.tolist(),) for g in gray] + [([1, 2],), (None,)], "g array<int>")
+    got = [r.h for r in rows.select(kernels.dct_hash("g").alias("h")).collect()]
+    for g, h in zip(gray, got, strict=False):
+        low = [
+            sum(g[32 * y + x] * np.cos(np.pi * (2 * y + 1) * v / 64) * np.cos(np.pi * (2 * x + 1) * u / 64) for y in range(32) for x in range(32))
+            for v in range(8) for u in range(8)
+        ]
+        assert h == f"{int(''.join('1' if c > np.median(low[1:]) else '0' for c in low), 2):016x}"
+    assert got[5:] == [None, None]
+    flat = spark.createDataFrame([([77] * 480, 24), (list(range(64)), 8), (None, 8)], "g array<int>, w int")
+    small = [r.s for r in flat.select(kernels.resample_8x8("g", "w").alias("s")).collect()]
+    assert small[0] == [77] * 64 and small[1] == list(range(64)) and small[2] is None
+
+
+def test_manifests_splits_and_halt(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"sprite_id":"a"},{"other":1}]')
+    (tmp_path / "b.json").write_text('["b", "c"]')
+    (tmp_path / "c.json").write_text('{"d": {}, "e": 1}')
+    (tmp_path / "d.json").write_text("[]")
+    assert sorted(r.id for r in files.manifest_ids(spark, str(tmp_path)).collect()) == list("abcde")
+    assert files.manifest_ids(spark, str(tmp_path / "none")).count() == 0
+    files.write_split_manifest(spark.createDataFrame([(1, "train"), (2, "val")], "id long, split string"), str(tmp_path / "s"), "id")
+    assert [r.id for r in files.load_split(spark, str(tmp_path / "s"), "val", "id").collect()] == [2]
+    with pytest.raises(FileNotFoundError):
+        files.load_split(spark, str(tmp_path / "s"), "test", "id")
+    (tmp_path / "s" / "split=val" / "part-x.json").write_text('"no record"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.load_split(spark, str(tmp_path / "s"), "val", "id").collect()
+    halt = harvest.halt_file(spark, str(tmp_path / "HALT"))
+    assert not halt()
+    (tmp_path / "HALT").write_text("")
+    assert halt()
+
+
+def test_light_and_kept_values(spark):
+    px = spark.createDataFrame([(1, 0, 0, 255, 255, 255, 255), (1, 2, 4, 255, 255, 255, 255), (1, 3, 3, 9, 9, 9, 10), (2, 0, 0, 5, 5, 5, 0)], "id long, x int, y int, r int, g int, b int, a int")
+    got = {r.id: (round(r.fill, 3), r.light_x, r.light_y) for r in indexing.light_fill(px, "id").collect()}
+    assert got == {1: (0.667, 1.0, 2.0), 2: (0.0, None, None)}
