@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spritelake.functions import kernels
+
 TRANSPARENT, OUTLINE, STRUCTURAL, SMALL, DETAIL = range(5)
 STRUCTURAL_OVER = 6
 
@@ -59,15 +61,14 @@ def categories(grid: Column, width: Column, labels: Column, sizes: Column, five:
     """Category of each cell: transparent, outline, structural (in a region of more than 6 cells),
     small (or with ``five`` small beside a structural cell), and with ``five`` detail. ``labels``
     and ``sizes`` are each cell's region and its size."""
-    parts = {"v": grid, "edge": outline(grid, width), "n": sizes, "label": labels}
+    parts = {"v": grid, "edge": outline(grid, width), "n": sizes}
     if five:
         big = F.transform(sizes, lambda n: F.when(n > STRUCTURAL_OVER, 1).otherwise(0))
-        beside = F.filter(around(v=big, width=width, label=labels), lambda c: F.greatest(c["l"], c["r"], c["u"], c["d"]) == 1)
-        shaded = F.array_distinct(F.transform(beside, lambda c: c["label"]))
-        parts["shaded"] = F.array_repeat(shaded, F.size(grid))  # one array, seen from every cell
+        beside = F.transform(around(v=big, width=width), lambda c: F.greatest(c["l"], c["r"], c["u"], c["d"]) == 1)
+        parts["shaded"] = kernels.any_in_region(labels, beside)
 
     def category(c):
-        rest = F.when(F.array_contains(c["shaded"], c["label"]), SMALL).otherwise(DETAIL) if five else F.lit(SMALL)
+        rest = F.when(c["shaded"], SMALL).otherwise(DETAIL) if five else F.lit(SMALL)
         return F.when(c["v"] == 0, TRANSPARENT).when(c["edge"], OUTLINE).when(c["n"] > STRUCTURAL_OVER, STRUCTURAL).otherwise(rest)
 
     return F.transform(zipped(**parts), category)

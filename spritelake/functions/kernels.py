@@ -63,6 +63,21 @@ def region_sizes(labels: pd.Series) -> pd.Series:
     return labels.map(one)
 
 
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def any_in_region(labels: pd.Series, flags: pd.Series) -> pd.Series:
+    """For each cell whether some cell of its region has the flag; False where it has no region."""
+
+    def one(r, f):
+        if r is None or f is None:
+            return None
+        r = np.asarray(r)
+        hit = np.zeros(len(r) + 1, bool)
+        hit[r[np.asarray(f, bool) & (r >= 0)]] = True
+        return hit[r] & (r >= 0)
+
+    return pd.Series([one(r, f) for r, f in zip(labels, flags, strict=True)], dtype=object)
+
+
 def merge_closest(colors: np.ndarray, target: int, resnap_each: bool = False) -> np.ndarray:
     """Merge the two closest colours into their floored middle until ``target`` are left; of equal
     distances the first pair. ``resnap_each`` puts each merged colour on the 15-bit grid, and drops

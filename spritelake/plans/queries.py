@@ -375,7 +375,8 @@ def unknown_drivers(spark, sf_dir):
 
 @query
 def class_samples(spark, sf_dir):
-    """The first 20 of each class by path and id, which is the feature's limit."""
+    """The first 20 of each class by path and id, which is the feature's limit. Spark keeps 20 rows
+    of a class in each task before it shuffles (WindowGroupLimit), so a class is no task's work."""
     rows = _classes(spark, sf_dir).select(F.col("c.sprite_class").alias("sprite_class"), "path", "id")
     at = F.row_number().over(Window.partitionBy("sprite_class").orderBy("path", "id"))
     return rows.withColumn("place", at).filter("place <= 20")
