@@ -78,39 +78,55 @@ def any_in_region(labels: pd.Series, flags: pd.Series) -> pd.Series:
     return pd.Series([one(r, f) for r, f in zip(labels, flags, strict=True)], dtype=object)
 
 
+#: Palettes that are merged together, which bounds their distances in memory.
+MERGED_TOGETHER = 1024
+
+
 def merge_closest(colors: np.ndarray, target: int, resnap_each: bool = False) -> np.ndarray:
-    """Merge the two closest colours into their floored middle until ``target`` are left; of equal
-    distances the first pair. ``resnap_each`` puts each merged colour on the 15-bit grid, and drops
-    repeated colours at the end."""
+    """m palettes of n colours, (m, n, 3): in each, merge the two closest colours into their floored
+    middle until ``target`` are left; of equal distances the first pair. ``resnap_each`` puts each
+    merged colour on the 15-bit grid. All palettes move together; a merge renews the distances of
+    one colour."""
     pal = colors.astype(np.int64)
-    while len(pal) > target:
-        gap = ((pal[:, None] - pal[None]) ** 2).sum(2)
-        gap[np.tril_indices(len(pal))] = np.iinfo(np.int64).max
-        i, j = divmod(int(gap.argmin()), len(pal))
-        middle = (pal[i] + pal[j]) // 2
+    m, n, _ = pal.shape
+    far, each = np.iinfo(np.int64).max, np.arange(m)
+    live = np.ones((m, n), bool)
+    gap = ((pal[:, :, None] - pal[:, None]) ** 2).sum(3)
+    gap[:, np.tri(n, dtype=bool)] = far  # only pairs in order
+    for _ in range(n - target):
+        i, j = np.divmod(gap.reshape(m, -1).argmin(1), n)
+        middle = (pal[each, i] + pal[each, j]) // 2
         if resnap_each:
             middle = np.clip(np.rint(middle / 8).astype(np.int64) * 8, 0, 248)
-        pal[i] = middle
-        pal = np.delete(pal, j, axis=0)
-    if resnap_each:
-        _, first = np.unique(pal, axis=0, return_index=True)
-        pal = pal[np.sort(first)]
-    return pal
+        pal[each, i], live[each, j] = middle, False
+        gap[each, j], gap[each, :, j] = far, far
+        fresh = np.where(live, ((pal - middle[:, None]) ** 2).sum(2), far)
+        place = np.arange(n)[None]
+        gap[each, i] = np.where(place > i[:, None], fresh, far)
+        gap[each, :, i] = np.where(place < i[:, None], fresh, far)
+    return pal[live].reshape(m, min(n, target), 3)
 
 
 def palette_reducer(target: int = 15, resnap_each: bool = False):
-    """A pandas UDF over arrays of packed colours (r * 65536 + g * 256 + b), in palette order."""
+    """A pandas UDF over arrays of packed colours (r * 65536 + g * 256 + b), in palette order;
+    with ``resnap_each`` repeated colours are dropped at the end."""
 
     @F.pandas_udf(INTEGERS)
     def reduce_palette(palette: pd.Series) -> pd.Series:
-        def one(p):
-            if p is None:
-                return None
-            p = np.asarray(p, np.int64)
-            merged = merge_closest(np.stack([p >> 16, p >> 8 & 255, p & 255], axis=1).reshape(-1, 3), target, resnap_each)
-            return (merged @ np.array([65536, 256, 1])).astype(np.int32)
-
-        return palette.map(one)
+        out: list = [None] * len(palette)
+        sizes: dict[int, list[int]] = {}
+        for i, p in enumerate(palette):
+            if p is not None:
+                sizes.setdefault(len(p), []).append(i)
+        for n, all_of_size in sizes.items():
+            for at in range(0, len(all_of_size), MERGED_TOGETHER):
+                some = all_of_size[at : at + MERGED_TOGETHER]
+                p = np.array([palette.iloc[i] for i in some], np.int64).reshape(len(some), n)
+                merged = merge_closest(np.stack([p >> 16, p >> 8 & 255, p & 255], axis=2), target, resnap_each)
+                packed = (merged @ np.array([65536, 256, 1])).astype(np.int32)
+                for i, row in zip(some, packed, strict=True):
+                    out[i] = np.array(list(dict.fromkeys(row.tolist())), np.int32) if resnap_each else row
+        return pd.Series(out, dtype=object)
 
     return reduce_palette
 

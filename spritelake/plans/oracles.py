@@ -104,6 +104,19 @@ CALIBRATED = f"""{MANIFEST},
     cal0 AS (SELECT dec.*, coalesce(m.total_score, at_decision, -1) AS total_score, coalesce(m.modes, []) AS modes FROM dec LEFT JOIN (SELECT * FROM man WHERE sprite_id % 4 <> 0) m ON m.sprite_id = dec.sprite_id),
     cal AS (SELECT *, CASE WHEN decision = 'reject' AND total_score >= 85 THEN 'permissive' WHEN decision = 'accept' AND total_score < 85 THEN 'strict'
             WHEN decision = 'flag_recalibration' THEN 'flagged' ELSE 'agreed' END AS verdict FROM cal0)"""
+def _merging(name: str, middle: str) -> str:
+    """A recursive table that merges the two closest of a list of packed colours, the first pair of
+    equals, until 15 are left; ``middle`` gives a channel of two merged ones."""
+    gap = " + ".join(f"pow(CAST((p[i] >> {k}) & 255 AS BIGINT) - CAST((p[j] >> {k}) & 255 AS BIGINT), 2)" for k in (16, 8, 0))
+    channel = " + ".join(middle.format(f"((p[c.i] >> {k}) & 255)", f"((p[c.j] >> {k}) & 255)") + f" * {1 << k}" for k in (16, 8, 0))
+    return f"""{name} AS (
+        SELECT sprite_id, p FROM start
+        UNION ALL
+        SELECT sprite_id, list_transform(list_filter(range(1, len(p) + 1), lambda k: k <> c.j), lambda k: CASE WHEN k = c.i THEN CAST({channel} AS BIGINT) ELSE p[k] END) AS p
+        FROM (SELECT sprite_id, p, list_min(flatten(list_transform(range(1, len(p)), lambda i: list_transform(range(i + 1, len(p) + 1),
+              lambda j: struct_pack(d := CAST({gap} AS BIGINT), i := i, j := j))))) AS c FROM {name} WHERE len(p) > 15) AS t)"""
+
+
 COMPLETIONS = "done AS (SELECT doc_id, lang, source, CASE WHEN n_chars % 97 = 0 THEN n_chars % 60 + 30 ELSE 95 + n_chars % 6 END AS score FROM documents)"
 BINS = """bins AS (SELECT vec_id AS sprite_id, label AS pack, list_distinct(list_transform(embedding, lambda v: CAST(floor((CAST(v AS DOUBLE) + 0.6) * 100) AS INTEGER))) AS p FROM embeddings)"""
 JACCARD = "CAST(len(list_intersect(a.p, b.p)) AS DOUBLE) / (len(a.p) + len(b.p) - len(list_intersect(a.p, b.p)))"
@@ -359,6 +372,11 @@ ORACLE_SQL: dict[str, str] = {
         SELECT CAST(pack AS BIGINT) AS pack, CAST(idx_a AS BIGINT) AS idx_a, CAST(idx_b AS BIGINT) AS idx_b, CAST(d AS BIGINT) AS distance_sq FROM p WHERE d < 14400""",
     "rollback_scope": """WITH l AS (SELECT o_custkey, max(o_orderkey % 5) AS version FROM orders GROUP BY 1)
         SELECT version, count(*) AS n FROM orders o JOIN l ON l.o_custkey = o.o_custkey WHERE o_orderkey % 5 < version GROUP BY 1""",
+    "reduce_palette": f"""WITH RECURSIVE {BINS}, start AS (SELECT sprite_id, list_sort(list_transform(p, lambda v: CAST(abs(v * 70001) % 16777216 AS BIGINT))) AS p FROM bins WHERE len(p) > 15),
+        {_merging("plain", "(({} + {}) // 2)")},
+        {_merging("snapped", "least(248, CAST(round_even((({} + {}) // 2) / 8.0::DOUBLE, 0) AS BIGINT) * 8)")}
+        SELECT s.sprite_id, CAST(len(s.p) AS BIGINT) AS colors, array_to_string(m.p, ',') AS merged, array_to_string(list_filter(n.p, lambda x, i: list_position(n.p, x) = i), ',') AS snapped
+        FROM start s JOIN plain m ON m.sprite_id = s.sprite_id AND len(m.p) = 15 JOIN snapped n ON n.sprite_id = s.sprite_id AND len(n.p) = 15""",
     "rubric_dispatch": """WITH t AS (SELECT ['Character', 'enemy_idle', 'NPC', 'portrait', 'hit_effect', 'Boss', 'tileset', 'tile_16', 'parallax_far', 'Background', 'misc', 'boss_background'][p_partkey % 12 + 1] AS asset_type FROM part),
         r AS (SELECT asset_type, CASE WHEN asset_type IN ('tileset', 'tile_16') THEN 'B' WHEN asset_type IN ('parallax_far', 'Background') THEN 'C' ELSE 'A' END AS rubric, asset_type = 'hit_effect' AS is_effect FROM t)
         SELECT asset_type, rubric, is_effect, count(*) AS n, CAST(CASE rubric WHEN 'B' THEN 80 WHEN 'C' THEN 75 END AS BIGINT) AS constant_total FROM r GROUP BY 1, 2, 3""",

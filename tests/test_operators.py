@@ -149,7 +149,7 @@ def brute_merge(pal, target):
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.tuples(*[st.integers(0, 255)] * 3), min_size=1, max_size=14), st.integers(1, 6))
 def test_palette_merge(pal, target):
-    assert list(map(tuple, kernels.merge_closest(np.array(pal), target).tolist())) == brute_merge(pal, target)
+    assert list(map(tuple, kernels.merge_closest(np.array([pal]), target)[0].tolist())) == brute_merge(pal, target)
 
 
 def test_grid_columns(spark):
