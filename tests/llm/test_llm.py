@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -206,6 +207,20 @@ def copies():
     return out + [prose(90 + g, 100) for g in range(20)] + ["", None, " \n", "one", "One", "one two", "one two three", prose(1, 40_000), prose(1, 40_000) + " tail"]
 
 
+def test_long_runs_are_searched_in_parts():
+    rng = np.random.default_rng(31)
+    base = rng.integers(0, 1 << 32, 60_000).astype("<u4")
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 1 << 32, 4000).astype("<u4")])) for _ in range(120)]
+    rows = [(7, 0, i.to_bytes(16), s.tobytes()) for i, s in enumerate(sets)] + [(8, 0, b"x" * 16, sets[0].tobytes())]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["cell", "salt", "key", "grams"])
+    edges = [tuple(e) for out in neardups._search(0.8)([batch]) for e in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True)]
+    root = {i.to_bytes(16): i for i in range(120)}
+    for a, b in edges:
+        low, high = sorted((root[a], root[b]))
+        root = {k: low if v == high else v for k, v in root.items()}
+    assert sum(map(len, sets)) * 4 > neardups.RUN_BYTES and set(root.values()) == {0}
+
+
 @pytest.mark.parametrize("large", [1024, 8])
 def test_near_copies_equal_brute_force(spark, nothing, large):
     texts = copies()
