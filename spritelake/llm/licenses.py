@@ -35,6 +35,8 @@ from . import shared
 THRESHOLD = 0.55
 #: Share of a file's words in licence passages from which the file is a licence file.
 FILE_SHARE = 0.2
+#: Directories with a licence above or in them that are broadcast.
+BROADCAST_DIRECTORIES = 100_000
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice|unlicense)([._-].*)?$"
 SPDX = r"(?i)SPDX-License-Identifier:\s*([A-Za-z0-9.+-]+)"
 TERM = r"[\p{L}\p{N}]+(?:\.[\p{N}]+)*"
@@ -207,6 +209,11 @@ def scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path", text_
     narrow = rows.select("doc_id", "path", clean.alias("directory"))
     up = narrow.select("directory").distinct().select("directory", F.explode(ancestors("directory")).alias("a")).select("directory", "a.*")
     nearest = up.join(licensed, "ancestor").groupBy("directory").agg(F.max(F.struct("depth", "ancestor", "license", "cosine")).alias("n"))
+    # A hot directory's files need not meet in a task: what directories say is sent to the files
+    # where it is small, and beyond that Spark splits skewed directories above the stored table.
+    nearest = shared.stored(nearest, "nearest")
+    if nearest.limit(BROADCAST_DIRECTORIES + 1).count() <= BROADCAST_DIRECTORIES:
+        nearest = F.broadcast(nearest)
     own = per_file.select("file.doc_id", "file.path", "own", "own_cosine")
     out = narrow.join(own, [narrow["doc_id"].eqNullSafe(own["doc_id"]), narrow["path"] == own["path"]], "left")
     out = out.select(narrow["doc_id"], narrow["path"], "directory", "own", "own_cosine").join(nearest, "directory", "left")
