@@ -132,6 +132,22 @@ def links(pages: DataFrame, per_page: int, pattern: str = HREF, ending: str | No
     return pages.select(F.col(id_col).alias("id"), F.posexplode(first).alias("place", "link"))
 
 
+def listing(pages: DataFrame, number: Column, most: int, visited: DataFrame | None = None, pattern: str = HREF, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """(link): the first ``most`` distinct links of a paginated listing, in order of page and place,
+    up to its first page without a link; links in ``visited`` are left out. Which page is the first
+    empty one is an aggregate, so pages are read at once and not one after the other."""
+    found = F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(1))
+    rows = pages.select(number.alias("number"), F.col(id_col).alias("id"), found.alias("found"))
+    counts = rows.groupBy("number").agg(F.sum(F.size("found")).alias("n"))
+    stop = counts.agg(F.min(F.when(F.col("n") == 0, F.col("number"))).alias("stop"))  # one row
+    kept = rows.crossJoin(F.broadcast(stop)).filter("stop IS NULL OR number < stop")
+    links = kept.select("number", "id", F.posexplode("found").alias("place", "link"))
+    first = links.groupBy("link").agg(F.min(F.struct("number", "id", "place")).alias("at"))
+    if visited is not None:
+        first = first.join(visited.select("link").distinct(), "link", "left_anti")
+    return first.orderBy("at", "link").limit(most).select("link")
+
+
 def first_link(html: Column, pattern: str = r"""href=["']([^"']+\.zip)["']""", base: str | None = None) -> Column:
     """The first link that fits, made absolute; null without one."""
     found = F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))

@@ -138,6 +138,27 @@ def constant_rubric(letter: str) -> Column:
     return F.struct(F.lit(total).alias("total_score"), F.lit(False).alias("passed"))
 
 
+HUMAN_GATE = 95
+
+
+def human_gate(automated: Column, originality: Column, soul: Column) -> Column:
+    """A struct (shown, combined, passed): only a full automated score is shown to a person, who adds
+    up to 10 points for originality and up to 5 for soul; together they must reach 95."""
+    shown = F.coalesce(automated == 85, F.lit(False))
+    added = F.greatest(F.lit(0), F.least(F.lit(10), originality)) + F.greatest(F.lit(0), F.least(F.lit(5), soul))
+    combined = F.when(shown, automated + F.coalesce(added, F.lit(0)))
+    return F.struct(shown.alias("shown"), combined.alias("combined"), F.coalesce(combined >= HUMAN_GATE, F.lit(False)).alias("passed"))
+
+
+def suggestions(calibrated: DataFrame, over: int = 10) -> DataFrame:
+    """(verdict, n, mode, action): for permissive and strict decisions, where there are more than
+    ``over``, the failure mode that is named most and what to do about its weight."""
+    modes = disagreement_modes(calibrated).groupBy("verdict").agg(F.min(F.struct((-F.col("n")).alias("k"), "mode")).alias("top"))
+    n = calibrated.filter(F.col("verdict").isin("permissive", "strict")).groupBy("verdict").agg(F.count("*").alias("n"))
+    action = F.when(F.col("verdict") == "permissive", "tighten").otherwise("relax")
+    return n.filter(F.col("n") > over).join(modes, "verdict").select("verdict", "n", F.col("top.mode").alias("mode"), action.alias("action"))
+
+
 def batches(rows: DataFrame, keys: tuple[str, ...], order: str, passed: Column, size: int = 100, share: float = 0.99) -> DataFrame:
     """(keys, batch, n, passed, ok): of each batch of ``size`` completions in order, how many pass,
     and whether that is enough."""

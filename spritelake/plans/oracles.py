@@ -80,19 +80,6 @@ ARTIFACT = f"""{SPARSE}, {ENTROPY},
           coalesce(any_value(e.entropy), 0) AS entropy, any_value(w) / (64.0 / any_value(w)) AS aspect FROM sp s LEFT JOIN ent e ON e.sprite_id = s.sprite_id GROUP BY 1),
     art AS (SELECT *, CASE WHEN empty > 0.8 THEN 'transparency' WHEN colors < 2 THEN 'unique_colors' WHEN entropy < 0.5 THEN 'entropy'
             WHEN aspect > 4.0 THEN 'aspect_wide' WHEN aspect < 0.25 THEN 'aspect_tall' ELSE 'keep' END AS reason FROM m)"""
-SCORES = f"""{SPARSE}, {OUTLINE.format("sp")}, {WORDS},
-    b AS (SELECT sprite_id, any_value(pack) AS pack, any_value(ol.w) AS width, 64 // any_value(ol.w) AS height,
-          count(*) FILTER (outline AND idx = 1 AND pack % 2 = 1) AS black, avg(CASE WHEN idx > 0 THEN 1.0 ELSE 0.0 END) AS fill FROM ol GROUP BY 1),
-    s0 AS (SELECT b.*, coalesce(w.colors, 0) AS colors, sprite_id % 5 AS band, sprite_id % 17 = 0 AS is_tileset FROM b LEFT JOIN w ON w.doc_id = b.sprite_id),
-    s1 AS (SELECT *, 25 - CASE WHEN colors > 60 THEN least(15, (colors - 60) // 4) WHEN colors > 30 THEN 5 ELSE 0 END AS a1,
-           greatest(0, 25 - CASE WHEN black > 0 THEN CAST(trunc((1.0::DOUBLE - (1.0::DOUBLE - least(1.0::DOUBLE, black / 50.0::DOUBLE))) * 10) AS INTEGER) ELSE 0 END
-             - CASE WHEN band >= 2 THEN CAST(trunc(round(least(1.0::DOUBLE, band / CAST(greatest(height, 1) AS DOUBLE)), 3) * 10) AS INTEGER) ELSE 0 END) AS a2,
-           greatest(0, 20 - CASE WHEN width < 8 OR height < 8 THEN 10 ELSE 0 END - CASE WHEN fill < 0.1 THEN 10 WHEN fill < 0.2 THEN 5 ELSE 0 END) AS a3,
-           list_filter([CASE WHEN band >= 2 THEN 'banding_detected' END, CASE WHEN black > 0 THEN 'outline_issue' END, CASE WHEN fill < 0.1 THEN 'low_fill' END,
-                        CASE WHEN colors > 30 THEN 'palette_bloat' END], lambda v: v IS NOT NULL) AS modes FROM s0),
-    scores AS (SELECT sprite_id, pack, width, height, is_tileset, CASE WHEN is_tileset THEN 0 ELSE a1 + a2 + a3 + 15 END AS total_score, a1, a2, a3,
-               CASE WHEN is_tileset THEN [] ELSE modes END AS modes,
-               CASE WHEN is_tileset THEN 'E_tileset' WHEN a1 + a2 + a3 + 15 >= 85 THEN 'A_autopass' WHEN a1 + a2 + a3 + 15 >= 70 THEN 'B_borderline' ELSE 'C_autoreject' END AS bucket FROM s1)"""
 LIMITS = """o AS (SELECT total_score, row_number() OVER (ORDER BY total_score DESC) - 1 AS k, count(*) OVER () AS n FROM scores WHERE NOT is_tileset),
     lim AS (SELECT max(total_score) FILTER (k = n // 20) AS top5, max(total_score) FILTER (k = least(n - 1, CAST(floor(n * 0.9::DOUBLE) AS BIGINT))) AS bottom10 FROM o)"""
 MANIFEST = """man AS (SELECT doc_id AS sprite_id, source, lang, n_chars % 60 + 40 AS total_score, doc_id % 23 = 0 AS is_tileset,
@@ -140,6 +127,22 @@ BANDS = f"""{PX},
     run AS (SELECT *, sum(CASE WHEN restart THEN 1 ELSE 0 END) OVER (PARTITION BY sprite_id ORDER BY y) AS run FROM rs),
     pos AS (SELECT *, row_number() OVER (PARTITION BY sprite_id, run ORDER BY y) AS step FROM run)"""
 
+SPARSE_BANDS = BANDS.removeprefix(PX + ",").replace("FROM px WHERE", "FROM sp WHERE")
+BANDED = "NOT restart AND step >= 4"
+SCORES = f"""{SPARSE}, {OUTLINE.format("sp")}, {BINS}, {SPARSE_BANDS}, bd AS (SELECT sprite_id, count(*) AS band FROM pos WHERE {BANDED} GROUP BY 1),
+    b AS (SELECT sprite_id, any_value(pack) AS pack, any_value(ol.w) AS width, 64 // any_value(ol.w) AS height,
+          count(*) FILTER (outline AND idx = 1 AND pack % 2 = 1) AS black, avg(CASE WHEN idx > 0 THEN 1.0 ELSE 0.0 END) AS fill FROM ol GROUP BY 1),
+    s0 AS (SELECT b.*, coalesce(len(w.p), 0) AS colors, coalesce(bd.band, 0) AS band, b.sprite_id % 17 = 0 AS is_tileset FROM b LEFT JOIN bins w ON w.sprite_id = b.sprite_id LEFT JOIN bd ON bd.sprite_id = b.sprite_id),
+    s1 AS (SELECT *, 25 - CASE WHEN colors > 60 THEN least(15, (colors - 60) // 4) WHEN colors > 30 THEN 5 ELSE 0 END AS a1,
+           greatest(0, 25 - CASE WHEN black > 0 THEN CAST(trunc((1.0::DOUBLE - (1.0::DOUBLE - least(1.0::DOUBLE, black / 50.0::DOUBLE))) * 10) AS INTEGER) ELSE 0 END
+             - CASE WHEN band >= 2 THEN CAST(trunc(round(least(1.0::DOUBLE, band / CAST(greatest(height, 1) AS DOUBLE)), 3) * 10) AS INTEGER) ELSE 0 END) AS a2,
+           greatest(0, 20 - CASE WHEN width < 8 OR height < 8 THEN 10 ELSE 0 END - CASE WHEN fill < 0.1 THEN 10 WHEN fill < 0.2 THEN 5 ELSE 0 END) AS a3,
+           list_filter([CASE WHEN band >= 2 THEN 'banding_detected' END, CASE WHEN black > 0 THEN 'outline_issue' END, CASE WHEN fill < 0.1 THEN 'low_fill' END,
+                        CASE WHEN colors > 30 THEN 'palette_bloat' END], lambda v: v IS NOT NULL) AS modes FROM s0),
+    scores AS (SELECT sprite_id, pack, width, height, is_tileset, CASE WHEN is_tileset THEN 0 ELSE a1 + a2 + a3 + 15 END AS total_score, a1, a2, a3,
+               CASE WHEN is_tileset THEN [] ELSE modes END AS modes,
+               CASE WHEN is_tileset THEN 'E_tileset' WHEN a1 + a2 + a3 + 15 >= 85 THEN 'A_autopass' WHEN a1 + a2 + a3 + 15 >= 70 THEN 'B_borderline' ELSE 'C_autoreject' END AS bucket FROM s1)"""
+
 
 def _slices(cell: str, width: str, least: int) -> str:
     return f"""{cell},
@@ -349,8 +352,30 @@ ORACLE_SQL: dict[str, str] = {
     "size_histogram": "SELECT CAST(p_size AS BIGINT) AS p_size, p_type, count(*) AS n FROM part GROUP BY 1, 2 ORDER BY n DESC, p_size, p_type LIMIT 15",
     "golden_names": """WITH r AS (SELECT p_partkey, p_brand || '_' || p_size AS name, row_number() OVER (PARTITION BY p_brand || '_' || p_size ORDER BY p_partkey) AS k FROM part)
         SELECT p_partkey, name, CASE WHEN k = 1 THEN name ELSE name || '_' || substr(CAST(p_partkey AS VARCHAR), 1, 6) END AS golden_name FROM r""",
-    "gate_summary": f"""WITH {CLASSES}, s AS (SELECT avg(CASE WHEN sprite_class = 'unknown' THEN 1.0 ELSE 0.0 END) AS unknown_rate, avg(CASE WHEN {STYLE} <> 'unknown' THEN 1.0 ELSE 0.0 END) AS style_coverage FROM classes)
-        SELECT *, unknown_rate < 0.15 AS class_gate, style_coverage >= 0.70 AS style_gate FROM s""",
+    "gate_summary": f"""WITH {CLASSES}, s AS (SELECT avg(CASE WHEN sprite_class = 'unknown' THEN 1.0 ELSE 0.0 END) AS unknown_rate, avg(CASE WHEN {STYLE} <> 'unknown' THEN 1.0 ELSE 0.0 END) AS style_coverage,
+          count(*) FILTER (id % 1000 <> 999) / CAST(count(*) AS DOUBLE) AS score_coverage, 1.0::DOUBLE AS hash_coverage, count(*) FILTER (id % 700 = 699) AS with_gaps FROM classes),
+        g AS (SELECT *, unknown_rate < 0.15 AS unknown_gate, 1 - unknown_rate >= 0.85 AS class_gate, style_coverage >= 0.70 AS style_gate, score_coverage = 1.0 AS score_gate,
+              hash_coverage = 1.0 AS hash_gate, with_gaps = 0 AS schema_gate FROM s)
+        SELECT *, unknown_gate AND class_gate AND style_gate AND score_gate AND hash_gate AND schema_gate AS passed FROM g""",
+    "human_gate": """WITH g AS (SELECT n_chars % 4 <> 0 AS shown, CASE WHEN n_chars % 4 <> 0 THEN 85 + least(10, n_chars % 12) + least(5, n_chars % 7) END AS combined FROM documents)
+        SELECT shown, coalesce(combined >= 95, FALSE) AS passed, count(*) AS n, CAST(min(combined) AS BIGINT) AS least, CAST(max(combined) AS BIGINT) AS most FROM g GROUP BY 1, 2""",
+    "calibration_suggestions": f"""WITH {CALIBRATED}, m AS (SELECT verdict, unnest(CASE WHEN len(modes) = 0 THEN ['no_flag'] ELSE modes END) AS mode FROM cal WHERE verdict IN ('permissive', 'strict')),
+        c AS (SELECT verdict, mode, row_number() OVER (PARTITION BY verdict ORDER BY count(*) DESC, mode) AS k FROM m GROUP BY 1, 2),
+        n AS (SELECT verdict, count(*) AS n FROM cal WHERE verdict IN ('permissive', 'strict') GROUP BY 1)
+        SELECT n.verdict, n, mode, CASE WHEN n.verdict = 'permissive' THEN 'tighten' ELSE 'relax' END AS action FROM n JOIN c ON c.verdict = n.verdict AND k = 1 WHERE n > 10""",
+    "paginated_links": """WITH p AS (SELECT page_id // 10 AS number, page_id, CASE WHEN page_id < 80 THEN regexp_extract_all(html, 'href="([^"]*)"', 1) ELSE [] END AS u FROM pages),
+        stop AS (SELECT min(number) AS stop FROM (SELECT number, sum(len(u)) AS n FROM p GROUP BY 1) t WHERE n = 0),
+        e AS (SELECT number, page_id, unnest(u) AS link, unnest(range(len(u))) AS k FROM p, stop WHERE stop IS NULL OR number < stop),
+        seen AS (SELECT link FROM (SELECT link, min(k) AS k FROM (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS link, unnest(range(len(regexp_extract_all(html, 'href="([^"]*)"', 1)))) AS k FROM pages WHERE page_id = 3) a GROUP BY 1) b ORDER BY k LIMIT 5),
+        f AS (SELECT link, min(struct_pack(n := number, p := page_id, k := k)) AS place FROM e WHERE link NOT IN (SELECT link FROM seen) GROUP BY 1)
+        SELECT link FROM f ORDER BY place, link LIMIT 40""",
+    "bucket_tables": f"WITH {MANIFEST} SELECT bucket, count(*) AS n, CAST(sum(total_score) AS BIGINT) AS points FROM man GROUP BY 1",
+    "hash_or_md5": f"WITH {GRAY_HASH} SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN substr(md5(CAST(vec_id AS VARCHAR)), 1, 16) ELSE hash END AS hash FROM hx",
+    "listed_files": """SELECT CASE WHEN p_size % 7 = 0 THEN 'loose' ELSE p_brand END AS pack, count(*) AS n FROM part WHERE p_size % 11 <> 0 GROUP BY 1""",
+    "provenance_entries": f"""WITH l AS (SELECT *, [{_quoted(fx.LICENSE_TEXTS)}][doc_id % 8 + 1] AS license FROM documents)
+        SELECT CAST(doc_id AS VARCHAR) AS sprite_id, 'https://x/' || source AS source_url, license, CASE WHEN contains(lower(license), 'cc0') THEN 'https://creativecommons.org/publicdomain/zero/1.0/'
+               WHEN contains(lower(license), 'cc-by-sa') THEN 'https://creativecommons.org/licenses/by-sa/4.0/' WHEN contains(lower(license), 'cc-by') THEN 'https://creativecommons.org/licenses/by/4.0/' ELSE '' END AS license_url,
+               substr(md5(text), 1, 16) AS perceptual_hash, 'md5' AS hash_algo, lang AS tier, '2024-01-01T00:00:00' AS added FROM l""",
     "lock_and_phase": "SELECT count(*) FILTER (doc_id % 3 = 0) AS locked, bool_and(doc_id % 2 = 0) AND NOT bool_or(toxic = 1) AS passed FROM labels",
     "harvest_stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "ramp_compliance": f"""WITH {PX}, {USED}, u AS (SELECT DISTINCT pack, r * 65536 + g * 256 + b AS c FROM used), ramp AS (SELECT DISTINCT c FROM u WHERE pack % 3 = 0),

@@ -252,8 +252,8 @@ def pure_black_outline(spark, sf_dir):
     return rows.withColumn("score", color.outline_score(F.col("black_pixels")))
 
 
-def _banded(spark, sf_dir) -> DataFrame:
-    px = fx.pixels(fx.sprites(spark, sf_dir))
+def _banded(spark, sf_dir, sprites=fx.sprites) -> DataFrame:
+    px = fx.pixels(sprites(spark, sf_dir))
     return banding.banding_rows(px.withColumns({"r": F.expr(fx.BAND_RED), "g": F.expr(fx.BAND_GREEN), "b": F.expr(fx.BAND_RED)}))
 
 
@@ -411,13 +411,15 @@ def schema_gaps(spark, sf_dir):
 
 
 def _scores(spark, sf_dir) -> DataFrame:
-    """Rubric scores of the sparse sprites; documents of the same id lend their colour counts."""
+    """Rubric scores of the sparse sprites from their own detectors: distinct shades, black outline
+    cells, banded rows, fill."""
     rows = fx.sparse(spark, sf_dir)
-    colors = _words(spark, sf_dir).select(F.col("doc_id").alias("sprite_id"), "colors")
+    colors = _bins(spark, sf_dir).select("sprite_id", F.size("palette").alias("colors"))
+    banded = _banded(spark, sf_dir, fx.sparse).groupBy("sprite_id").agg(F.count("*").alias("band"))
     black = _black()
     fill = F.size(F.filter("grid", lambda v: v > 0)) / F.size("grid")
-    rows = rows.join(colors, "sprite_id", "left").withColumns({"black": black, "fill": fill, "band": (F.col("sprite_id") % 5).cast("int")})
-    score = triage.rubric_a(F.coalesce("colors", F.lit(0)), F.col("black"), F.col("band"), F.col("width"), F.col("height"), F.col("fill"))
+    rows = rows.join(colors, "sprite_id", "left").join(banded, "sprite_id", "left").withColumns({"black": black, "fill": fill})
+    score = triage.rubric_a(F.coalesce("colors", F.lit(0)), F.col("black"), F.coalesce("band", F.lit(0)), F.col("width"), F.col("height"), F.col("fill"))
     rows = rows.withColumns({"s": score, "is_tileset": F.col("sprite_id") % 17 == 0})
     total = F.when(F.col("is_tileset"), 0).otherwise(F.col("s.total_score"))
     return rows.select(
@@ -664,13 +666,24 @@ def golden_names(spark, sf_dir):
 
 @query
 def gate_summary(spark, sf_dir):
-    """One row of coverage gates over the class labels."""
-    c = _classes(spark, sf_dir).select("c.sprite_class", rules.aesthetic_style(F.col("pack")).alias("style"))
+    """One row of all gates before training: classes, styles, scores, hashes, schema."""
+    score, hashed = F.when(F.col("id") % 1000 != 999, F.col("id") % 100), F.md5(F.col("path").cast("binary"))
+    raw = F.when(F.col("id") % 700 != 699, F.concat(F.lit('{"'), F.array_join(F.array(*map(F.lit, cleaning.REQUIRED)), '":1,"'), F.lit('":1,"format_provenance":{"'), F.array_join(F.array(*map(F.lit, cleaning.REQUIRED_FORMAT)), '":1,"'), F.lit('":1}}'))).otherwise("{}")
+    c = _classes(spark, sf_dir).select("c.sprite_class", rules.aesthetic_style(F.col("pack")).alias("style"), score.alias("score"), hashed.alias("hash"), F.size(cleaning.schema_gaps(raw)).alias("gaps"))
     rows = c.agg(
         F.avg(F.when(F.col("sprite_class") == "unknown", 1.0).otherwise(0.0)).alias("unknown_rate"),
         F.avg(F.when(F.col("style") != "unknown", 1.0).otherwise(0.0)).alias("style_coverage"),
+        (F.count("score") / F.count("*")).alias("score_coverage"), (F.count("hash") / F.count("*")).alias("hash_coverage"),
+        F.sum(F.when(F.col("gaps") > 0, 1).otherwise(0)).alias("with_gaps"),
     )
-    return rows.withColumns({"class_gate": F.col("unknown_rate") < 0.15, "style_gate": F.col("style_coverage") >= 0.70})
+    gates = {
+        "unknown_gate": F.col("unknown_rate") < 0.15, "class_gate": 1 - F.col("unknown_rate") >= 0.85, "style_gate": F.col("style_coverage") >= 0.70,
+        "score_gate": F.col("score_coverage") == 1.0, "hash_gate": F.col("hash_coverage") == 1.0, "schema_gate": F.col("with_gaps") == 0,
+    }
+    passed = F.lit(True)
+    for gate in gates:
+        passed &= F.col(gate)
+    return rows.withColumns(gates).withColumn("passed", passed)
 
 
 @query
@@ -772,6 +785,64 @@ def reduce_palette(spark, sf_dir):
     return rows.select("sprite_id", F.size("p").alias("colors"), F.array_join(kept[0], ",").alias("merged"), F.array_join(kept[1], ",").alias("snapped"))
 
 
+@query
+def human_gate(spark, sf_dir):
+    """Automated and human points together, by outcome."""
+    docs = fx.table(spark, sf_dir, "documents")
+    n = F.col("n_chars")
+    gate = triage.human_gate(F.when(n % 4 == 0, 80).otherwise(85), n % 12, n % 7)
+    return docs.select(gate.alias("g")).groupBy("g.shown", "g.passed").agg(F.count("*").alias("n"), F.min("g.combined").alias("least"), F.max("g.combined").alias("most"))
+
+
+@query
+def calibration_suggestions(spark, sf_dir):
+    return triage.suggestions(_calibrated(spark, sf_dir))
+
+
+@query
+def paginated_links(spark, sf_dir):
+    """The first 40 new links of a listing of ten pages each; the ninth and later lists are empty."""
+    pages = fx.table(spark, sf_dir, "pages").withColumn("html", F.when(F.col("page_id") < 80, F.col("html")).otherwise(""))
+    seen = provenance.links(pages.filter("page_id = 3"), 5).select("link")
+    return provenance.listing(pages, F.floor(F.col("page_id") / 10), 40, seen)
+
+
+@query
+def bucket_tables(spark, sf_dir):
+    """Scores written to a folder for each bucket and read back from there."""
+    path = shared_path(spark, "buckets")
+    files.append(_manifest(spark, sf_dir).select("sprite_id", "total_score", "bucket"), path, ["bucket"])
+    return spark.read.parquet(path).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("total_score").alias("points"))
+
+
+@query
+def hash_or_md5(spark, sf_dir):
+    """The average hash of whole grids, else a part of a digest."""
+    rows = fx.table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 10 == 0, F.slice("embedding", 1, 32)).otherwise(F.col("embedding")).alias("g"))
+    digest = F.substring(F.md5(F.col("vec_id").cast("string").cast("binary")), 1, 16)
+    return rows.select("vec_id", F.when(F.size("g") == 64, grids.average_hash(F.col("g"))).otherwise(digest).alias("hash"))
+
+
+@query
+def listed_files(spark, sf_dir):
+    """A list of paths written beforehand, read with blanks and empty lines dropped, by pack; bare
+    names belong to a parent."""
+    path = shared_path(spark, "listed")
+    name = F.when(F.col("p_size") % 11 == 0, "").when(F.col("p_size") % 7 == 0, F.concat(F.lit(" "), "p_partkey", F.lit(".png "))).otherwise(F.concat_ws("/", "p_brand", F.concat("p_partkey", F.lit(".png"))))
+    fx.table(spark, sf_dir, "part").select(name).write.text(path)
+    found = files.listed_paths(spark, path)
+    return found.groupBy(provenance.pack_of(F.col("path"), F.lit("loose")).alias("pack")).agg(F.count("*").alias("n"))
+
+
+@query
+def provenance_entries(spark, sf_dir):
+    """Manifest entries with licence addresses and named hash algorithms."""
+    docs = fx.table(spark, sf_dir, "documents")
+    entry = indexing.provenance_entry(F.col("doc_id").cast("string"), F.concat(F.lit("https://x/"), "source"), F.col("source"), fx.license_text(), F.substring(F.md5(F.col("text").cast("binary")), 1, 16), "md5", F.col("lang"), F.lit("2024-01-01 00:00:00"))
+    rows = docs.select(entry.alias("e")).select("e.sprite_id", "e.source_url", "e.license", "e.license_url", "e.perceptual_hash", "e.hash_algo", "e.tier", F.date_format("e.date_added", "yyyy-MM-dd'T'HH:mm:ss").alias("added"))
+    return rows
+
+
 @query
 def rubric_dispatch(spark, sf_dir):
     """Asset types by the rubric that scores them, with the constants of rubrics B and C."""
