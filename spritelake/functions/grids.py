@@ -45,6 +45,11 @@ def outline(grid: Column, width: Column) -> Column:
     return F.transform(around(v=grid, width=width), lambda c: (c["v"] > 0) & (F.least(c["l"], c["r"], c["u"], c["d"]) == 0))
 
 
+def opaque(grid: Column, alpha: Column, least: int) -> Column:
+    """The grid with cells of an alpha below ``least`` as transparent ones."""
+    return F.transform(zipped(v=grid, a=alpha), lambda c: F.when(c["a"] < least, 0).otherwise(c["v"]))
+
+
 def orphans(grid: Column, width: Column) -> Column:
     """For each cell whether it is filled and no neighbour has its index."""
     return F.transform(

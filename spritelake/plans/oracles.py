@@ -395,8 +395,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN row = 20 THEN 'S' WHEN row < 20 THEN ['N', 'W', 'S', 'E'][row % 4 + 1] END AS direction, CAST(frame AS BIGINT) AS frame, count(*) AS n FROM c GROUP BY 1, 2, 3""",
     "near_duplicate_colors": f"""WITH {PX}, {USED}, p AS (SELECT a.pack, a.idx AS idx_a, b.idx AS idx_b, (a.r - b.r) * (a.r - b.r) + (a.g - b.g) * (a.g - b.g) + (a.b - b.b) * (a.b - b.b) AS d FROM used a JOIN used b ON a.pack = b.pack AND a.idx < b.idx)
         SELECT CAST(pack AS BIGINT) AS pack, CAST(idx_a AS BIGINT) AS idx_a, CAST(idx_b AS BIGINT) AS idx_b, CAST(d AS BIGINT) AS distance_sq FROM p WHERE d < 14400""",
-    "rollback_scope": """WITH l AS (SELECT o_custkey, max(o_orderkey % 5) AS version FROM orders GROUP BY 1)
-        SELECT version, count(*) AS n FROM orders o JOIN l ON l.o_custkey = o.o_custkey WHERE o_orderkey % 5 < version GROUP BY 1""",
+    "rollback_scope": """WITH f AS (SELECT o_custkey, o_orderkey % 5 AS version, max(o_orderkey % 5) OVER (PARTITION BY o_custkey) AS latest FROM orders)
+        SELECT version, CASE WHEN version < latest THEN 'superseded' ELSE 'current' END AS status, count(*) AS n, count(DISTINCT o_custkey) AS characters FROM f GROUP BY 1, 2""",
+    "outline_alpha": f"""WITH {PX}, faint AS (SELECT * REPLACE (CASE WHEN idx = 5 THEN 0 ELSE idx END AS idx) FROM px), {OUTLINE.format("faint")}
+        SELECT sprite_id, count(*) FILTER (outline) AS outline FROM ol GROUP BY 1""",
+    "training_gate": "SELECT unnest(['ready', 'no approval', 'empty manifest']) AS state, unnest([(SELECT count(*) > 0 FROM labels), FALSE, FALSE]) AS open",
+    "appended_once": "SELECT source, count(*) AS n, count(DISTINCT doc_id) AS ids FROM documents GROUP BY 1",
     "reduce_palette": f"""WITH RECURSIVE {BINS}, start AS (SELECT sprite_id, list_sort(list_transform(p, lambda v: CAST(abs(v * 70001) % 16777216 AS BIGINT))) AS p FROM bins WHERE len(p) > 15),
         {_merging("plain", "(({} + {}) // 2)")},
         {_merging("snapped", "least(248, CAST(round_even((({} + {}) // 2) / 8.0::DOUBLE, 0) AS BIGINT) * 8)")}
@@ -437,3 +441,5 @@ ORACLE_SQL: dict[str, str] = {
     "pricing_summary": """SELECT l_returnflag, l_linestatus, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, round(sum(l_quantity), 2) AS quantity, count(*) AS n
         FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02 00:00:00' GROUP BY 1, 2""",
 }
+# Fixtures have no palette beyond the target, so both variants of the merge give the same sprites.
+ORACLE_SQL["index_sprites_filter"] = ORACLE_SQL["index_sprites_strict"]

@@ -770,11 +770,47 @@ def near_duplicate_colors(spark, sf_dir):
 
 @query
 def rollback_scope(spark, sf_dir):
-    """Orders made for a customer version that a later one has superseded."""
-    orders = fx.table(spark, sf_dir, "orders")
-    latest = orders.groupBy("o_custkey").agg(F.max(F.col("o_orderkey") % 5).alias("version"))
-    old = orders.join(latest, "o_custkey").filter(F.col("o_orderkey") % 5 < F.col("version"))
-    return old.groupBy("version").agg(F.count("*").alias("n"))
+    """Frames by whether their character's version is still the latest: orders as frames, customers
+    as characters."""
+    frames = fx.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("character"), (F.col("o_orderkey") % 5).alias("version"))
+    latest = frames.groupBy("character").agg(F.max("version").alias("latest"))
+    status = F.when(F.col("version") < F.col("latest"), "superseded").otherwise("current")
+    return frames.join(latest, "character").groupBy("version", status.alias("status")).agg(F.count("*").alias("n"), F.count_distinct("character").alias("characters"))
+
+
+@query
+def outline_alpha(spark, sf_dir):
+    """Outline cells where an alpha below 10 counts as transparent: index 5 is that faint."""
+    rows = fx.sprites(spark, sf_dir).withColumn("a", F.transform("grid", lambda v: F.when(v == 0, 0).when(v == 5, 8).otherwise(255)))
+    edge = grids.outline(grids.opaque(F.col("grid"), F.col("a"), 10), F.col("width"))
+    return rows.select("sprite_id", F.size(F.filter(edge, lambda e: e)).alias("outline"))
+
+
+@query
+def index_sprites_filter(spark, sf_dir):
+    """The filter's variant: merged colours are put on the grid each time."""
+    found = indexing.index_sprites(_alpha_pixels(spark, sf_dir), "sprite_id", strict=True, resnap_each=True)
+    return found.select("sprite_id", F.array_join(indexing.hex_palette(F.col("palette")), ",").alias("palette"), F.array_join("index_grid", "").alias("grid"))
+
+
+@query
+def training_gate(spark, sf_dir):
+    """Whether training may begin, for each of three states of notes, approval and manifest."""
+    listed = fx.table(spark, sf_dir, "labels").select("doc_id")
+    marker = "notes\nPHASE4_ARCHITECTURE_REVIEW: APPROVED\n"
+    states = [("ready", True, marker, listed), ("no approval", True, "PHASE4_ARCHITECTURE_REVIEW: PENDING", listed), ("empty manifest", True, marker, listed.limit(0))]
+    rows = [F.struct(F.lit(n).alias("state"), F.lit(provenance.training_gate(m, notes, text)).alias("open")) for n, notes, text, m in states]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+@query
+def appended_once(spark, sf_dir):
+    """Manifest entries appended in two overlapping parts: a key that is there is not added again."""
+    docs = fx.table(spark, sf_dir, "documents").select("doc_id", "source")
+    path = shared_path(spark, "entries")
+    for part in ("doc_id % 3 <> 0", "doc_id % 3 <> 1"):
+        files.append_new(docs.filter(part), path, "doc_id")
+    return spark.read.parquet(path).groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("ids"))
 
 
 @query

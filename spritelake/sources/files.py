@@ -147,6 +147,16 @@ def append(rows: DataFrame, path: str, partition_by: list[str] | None = None, as
     (writer.json if as_json else writer.parquet)(path)
 
 
+def append_new(rows: DataFrame, path: str, key: str) -> None:
+    """Add the rows whose key the table does not have yet, one of each key."""
+    spark = rows.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fresh = rows.dropDuplicates([key])
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        fresh = fresh.join(spark.read.parquet(path).select(key), key, "left_anti")
+    append(fresh, path)
+
+
 class Moved(NamedTuple):
     """What a verified move wrote, and what went wrong."""
 
