@@ -22,8 +22,8 @@ rows is no single task's work.
 Cases: a null source is a source of its own; a source without a weight, or with 0, waits until the
 others have run out and then gets the weight it would have without given weights; a negative
 weight is an error; repeated ids keep their rows (rows that are equal in id take the order of
-``tie``, by default none); rows without id are spread by a hash of all their columns; rows that are
-equal in every column share a hash range; a source of one row has one short block; an empty table
+``tie``, by default none); rows without id are spread by a hash of their numbers, dates and truth
+values, and those that are equal in all of these share a hash range; a source of one row has one short block; an empty table
 gives no rows; columns of the input are kept; names that begin with two underscores are reserved, and an
 input column named like an added one is an error. Sources and weights that need a schedule of more
 than ``MOST_SLOTS`` slots over all phases are an error, not a rounding.
@@ -38,6 +38,7 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import shared
 
@@ -130,7 +131,9 @@ def ranges(docs: DataFrame, id_col: str, source_col: str, range_rows: int, tie:
     name = F.coalesce(F.concat(F.lit("s:"), F.col(source_col).cast("string")), F.lit("null"))
     own = F.col(id_col).cast("string")
     key = F.md5((own if tie is None else F.concat_ws("/", own, tie.cast("string"))).cast("binary"))
-    unnamed = F.shiftrightunsigned(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)), 4)
+    # Whole texts are not read to find places.
+    short = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType))]
+    unnamed = F.shiftrightunsigned(F.xxhash64(F.lit(0), *short), 4)
     hashed = F.when(F.col(id_col).isNull(), unnamed).otherwise(F.conv(F.substring(key, 1, 15), 16, 10).cast("long"))
     rows = docs.withColumns({"__source": name, "__hash": hashed})
     counts = rows.groupBy("__source").count().limit(MOST_SLOTS + 1).collect()  # a phase has a slot for each source
