@@ -207,6 +207,22 @@ def copies():
     return out + [prose(90 + g, 100) for g in range(20)] + ["", None, " \n", "one", "One", "one two", "one two three", prose(1, 40_000), prose(1, 40_000) + " tail"]
 
 
+def test_features_of_texts_of_any_kind():
+    texts = [b"", b"one", "a b c d e".encode(), b" A  b\tc d e\n", prose(5, 900).encode(), "é 中\u00a0x y z w v".encode(), b"\xff\xfe bad bytes are words too", b"x " * 40, prose(5, 900).encode()]
+    digests, filled, marks, grams, sizes = neardups.features(texts)
+    want = [slow_shingles(t.decode("latin-1")) if t[:1] == b"\xff" else slow_shingles(t.decode()) for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and filled.tolist() == [i for i, w in enumerate(want) if w] and len(grams) == sizes.sum()
+    assert digests[2] == digests[3] and digests[4] == digests[8] and len(set(digests)) == len(texts) - 2
+    assert marks[filled.tolist().index(4)].tolist() == marks[filled.tolist().index(8)].tolist() and marks.shape[1] == neardups.SUBSETS
+    keep, neardups.CHUNK = neardups.CHUNK, 50
+    try:
+        again = neardups.features(texts)
+    finally:
+        neardups.CHUNK = keep
+    assert again[0] == digests and all(np.array_equal(a, b) for a, b in zip(again[1:], (filled, marks, grams, sizes), strict=True))
+    assert neardups.features([])[0] == [] and neardups.features([b"", b" "])[4].tolist() == [0, 0]
+
+
 def test_long_runs_are_searched_in_parts():
     rng = np.random.default_rng(31)
     base = rng.integers(0, 1 << 32, 60_000).astype("<u4")
