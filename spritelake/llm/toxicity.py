@@ -114,7 +114,11 @@ def tokenised(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
         for piece in _pieces(text):
             pieces.append(piece)
             owners.append(i)
-    low = pc.utf8_lower(pa.array(pieces, pa.large_binary()).cast(pa.large_string()))
+    raw = pa.array(pieces, pa.large_binary())
+    try:
+        low = pc.utf8_lower(raw.cast(pa.large_string()))
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        low = pc.utf8_lower(pa.array([p.decode("utf-8", "replace") for p in pieces], pa.large_string()))
     owner, found = _split(np.array(owners, np.int64), low)
     # Most words stand between blanks; only the others need the pattern.
     plain = pc.utf8_is_alpha(found).to_numpy(zero_copy_only=False)

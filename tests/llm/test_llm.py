@@ -435,6 +435,7 @@ def test_scores_equal_sums_over_features_and_texts_of_any_kind(spark):
     texts = ["", "vile", "Vile!vile", "abcde", "abcdef abcdeg", "abcdefg " * 5, "vile-abcdefgh 9", "x" * 50, prose(1, 2000) + " VILE", "é中 vile"]
     want = [model.intercept + sum(model.weights.get(f, 0) for f in toxicity.features(t.encode())) for t in texts]
     assert model.scores([t.encode() for t in texts]) == pytest.approx([1 / (1 + np.exp(-z)) for z in want])
+    assert model.scores([b"\xff vile \xfe", b"vile"])[0] == model.score(b"vile")
     keep, toxicity.CHUNK = toxicity.CHUNK, 64
     try:
         assert model.scores([t.encode() for t in texts]) == pytest.approx([1 / (1 + np.exp(-z)) for z in want])
