@@ -21,12 +21,14 @@ COLOR_BOUNDS = [(16, 64), (32, 128), (48, 192), (64, 256), (96, 384), (128, 512)
 COLOR_CAP = 512
 
 # Keys that every sprite record must have.
-REQUIRED = (
-    "sprite_id width height palette index_grid transparent_index sprite_class sprite_subclass class_confidence "
-    "class_rule_matched aesthetic_style aesthetic_subclass animation_id frame_index frame_count animation_type "
-    "pose_direction view_angle rubric_score rubric_bucket perceptual_hash"
-).split()
-REQUIRED_FORMAT = "file_format native_format color_count_at_ingestion palette_indexed".split()
+REQUIRED = [
+    "sprite_id", "width", "height", "palette", "index_grid", "transparent_index", "sprite_class", "sprite_subclass", "class_confidence",
+    "class_rule_matched", "aesthetic_style", "aesthetic_subclass", "animation_id", "frame_index", "frame_count", "animation_type", "pose_direction",
+    "view_angle", "rubric_score", "rubric_bucket", "perceptual_hash",
+]
+REQUIRED_FORMAT = [
+    "file_format", "native_format", "color_count_at_ingestion", "palette_indexed",
+]
 
 
 def transparency(grid: Column, transparent: Column) -> Column:
@@ -73,6 +75,7 @@ def artifact(grid: Column, transparent: Column, width: Column, height: Column) -
 
 def quarantine(pack: Column, pack_total: Column) -> Column:
     """Category of a pack that is set aside, or null; the first that fits."""
+    # The parts of pack names that decide.
     low = F.lower(pack)
     texture = pack.startswith("texture-") | pack.startswith("texture_")
     monochrome = (

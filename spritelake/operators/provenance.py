@@ -103,20 +103,29 @@ def zipped(left: DataFrame, right: DataFrame, sheet: str, left_order: str, right
     return a.join(b, [sheet, "place"])
 
 
-def resolved_packs(packs: DataFrame, catalogue: DataFrame, bounded_by: int = 10_000) -> DataFrame:
-    """``packs`` (source, pack) with creator, license and how: the catalogue first, then what the
-    sources' policies say, else quarantine. The catalogue is broadcast if it is small."""
+def resolved_packs(packs: DataFrame, catalogue: DataFrame, searched: DataFrame | None = None, bounded_by: int = 10_000) -> DataFrame:
+    """``packs`` (source, pack) with creator, license, how and reason: the catalogue first, then what
+    the sources' policies say, then ``searched`` (pack, creator, license, verified: what the pages
+    found for open packs said), else quarantine with a reason. Both tables are broadcast if small."""
+    spark = packs.sparkSession
+    if searched is None:
+        searched = spark.createDataFrame([], "pack string, creator string, license string, verified boolean")
     known = catalogue.select("source", "pack", F.col("creator").alias("__creator"), F.col("license").alias("__license"))
-    if known.limit(bounded_by + 1).count() <= bounded_by:
-        known = F.broadcast(known)
-    rows = packs.join(known, ["source", "pack"], "left")
+    pages = searched.select("pack", F.col("creator").alias("__page_creator"), F.col("license").alias("__page_license"), F.coalesce("verified", F.lit(False)).alias("__verified"))
+    known, pages = (F.broadcast(t) if t.limit(bounded_by + 1).count() <= bounded_by else t for t in (known, pages))
+    rows = packs.join(known, ["source", "pack"], "left").join(pages, "pack", "left")
     hit, kenney, lpc = F.col("__license").isNotNull(), F.col("source") == "kenney", (F.col("source") == "direct") & (F.col("pack") == "lpc_base")
-    how = first_match([(hit, F.lit("known")), (kenney, F.lit("inferred")), (lpc, F.lit("lpc_base"))], F.lit("quarantine"))
+    found = (F.col("source") == "opengameart") & F.col("__verified").isNotNull()
+    proven = F.col("__verified") & F.col("__page_license").isNotNull()
+    fits = proven & accepted(F.col("__page_license"))
+    how = first_match([(hit, F.lit("known")), (kenney, F.lit("inferred")), (lpc, F.lit("lpc_base")), (found & fits, F.lit("searched"))], F.lit("quarantine"))
+    why = first_match([(found & ~proven, F.lit("license unverifiable")), (found & ~fits, F.lit("license not acceptable"))], F.lit("no provenance"))
+    rows = rows.withColumn("how", how)
     return rows.withColumns({
-        "how": how,
-        "creator": first_match([(hit, F.col("__creator")), (kenney, F.lit("Kenney")), (lpc, F.lit("LPC Community"))], F.lit(None)),
-        "license": first_match([(hit, F.col("__license")), (kenney, F.lit("CC0")), (lpc, F.lit("CC-BY-SA"))], F.lit(None)),
-    }).drop("__creator", "__license")
+        "reason": F.when(F.col("how") == "quarantine", why),
+        "creator": first_match([(hit, F.col("__creator")), (kenney, F.lit("Kenney")), (lpc, F.lit("LPC Community")), (F.col("how") == "searched", F.col("__page_creator"))], F.lit(None)),
+        "license": first_match([(hit, F.col("__license")), (kenney, F.lit("CC0")), (lpc, F.lit("CC-BY-SA")), (F.col("how") == "searched", F.col("__page_license"))], F.lit(None)),
+    }).drop("__creator", "__license", "__page_creator", "__page_license", "__verified")
 
 
 HREF = r'href="([^"]*)"'

@@ -11,14 +11,15 @@ HIGH, LOW = 0.70, 0.45
 DECIDED = 0.30
 
 # Words of a sheet's name that speak for characters or for tilesets.
-CHARACTER_WORDS = (
-    "character char hero player enemy npc monster walk run idle attack death hurt jump fall sprite_sheet anim animation "
-    "warrior mage knight boss mob creature humanoid person figure"
-).split()
-TILESET_WORDS = (
-    "tile tileset tilemap terrain map floor wall ground dungeon overworld world environment env grass water stone rock sand "
-    "dirt cave forest field road path indoor outdoor platform block brick wood metal ice lava"
-).split()
+CHARACTER_WORDS = [
+    "character", "char", "hero", "player", "enemy", "npc", "monster", "walk", "run", "idle", "attack", "death", "hurt", "jump", "fall",
+    "sprite_sheet", "anim", "animation", "warrior", "mage", "knight", "boss", "mob", "creature", "humanoid", "person", "figure",
+]
+TILESET_WORDS = [
+    "tile", "tileset", "tilemap", "terrain", "map", "floor", "wall", "ground", "dungeon", "overworld", "world", "environment", "env", "grass",
+    "water", "stone", "rock", "sand", "dirt", "cave", "forest", "field", "road", "path", "indoor", "outdoor", "platform", "block", "brick", "wood",
+    "metal", "ice", "lava",
+]
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -345,9 +345,11 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN k = 5 THEN '' WHEN k IN (1, 4) THEN 'https://creativecommons.org/licenses/by-sa/3.0/' ELSE 'https://creativecommons.org/publicdomain/zero/1.0/' END AS url, count(*) AS n FROM p GROUP BY 1, 2, 3""",
     "pack_resolution": """WITH d AS (SELECT ['kenney', 'opengameart', 'direct'][doc_id % 3 + 1] AS source, CASE WHEN doc_id % 9 = 2 THEN 'lpc_base' ELSE source END AS pack FROM documents),
         k AS (SELECT source, pack, pack IN ('src1', 'src7') AND source <> 'direct' AS hit FROM (SELECT ['kenney', 'opengameart', 'direct'][doc_id % 3 + 1] AS source, CASE WHEN doc_id % 9 = 2 THEN 'lpc_base' ELSE documents.source END AS pack FROM documents) t)
-        SELECT source, CASE WHEN hit THEN 'known' WHEN source = 'kenney' THEN 'inferred' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'lpc_base' ELSE 'quarantine' END AS how,
-               CASE WHEN hit THEN 'by ' || pack WHEN source = 'kenney' THEN 'Kenney' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'LPC Community' END AS creator,
-               CASE WHEN hit THEN 'CC-BY' WHEN source = 'kenney' THEN 'CC0' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'CC-BY-SA' END AS license, count(*) AS n FROM k GROUP BY 1, 2, 3, 4""",
+        SELECT source, CASE WHEN hit THEN 'known' WHEN source = 'kenney' THEN 'inferred' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'lpc_base' WHEN source = 'opengameart' AND pack = 'src4' THEN 'searched' ELSE 'quarantine' END AS how,
+               CASE WHEN hit OR source = 'kenney' OR source = 'direct' AND pack = 'lpc_base' OR source = 'opengameart' AND pack = 'src4' THEN NULL WHEN source = 'opengameart' AND pack = 'src13' THEN 'license unverifiable'
+                    WHEN source = 'opengameart' AND pack = 'src10' THEN 'license not acceptable' ELSE 'no provenance' END AS reason,
+               CASE WHEN hit THEN 'by ' || pack WHEN source = 'kenney' THEN 'Kenney' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'LPC Community' WHEN source = 'opengameart' AND pack = 'src4' THEN 'of src4' END AS creator,
+               CASE WHEN hit THEN 'CC-BY' WHEN source = 'kenney' THEN 'CC0' WHEN source = 'direct' AND pack = 'lpc_base' THEN 'CC-BY-SA' WHEN source = 'opengameart' AND pack = 'src4' THEN 'CC0' END AS license, count(*) AS n FROM k GROUP BY 1, 2, 3, 4, 5""",
     "latest_score_dedup": """WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) SELECT user_id, event_id, event_type, value FROM r WHERE k = 1""",
     "size_histogram": "SELECT CAST(p_size AS BIGINT) AS p_size, p_type, count(*) AS n FROM part GROUP BY 1, 2 ORDER BY n DESC, p_size, p_type LIMIT 15",
     "golden_names": """WITH r AS (SELECT p_partkey, p_brand || '_' || p_size AS name, row_number() OVER (PARTITION BY p_brand || '_' || p_size ORDER BY p_partkey) AS k FROM part)

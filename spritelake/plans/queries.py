@@ -641,8 +641,10 @@ def pack_resolution(spark, sf_dir):
     docs = fx.table(spark, sf_dir, "documents").select(F.get(sources, (F.col("doc_id") % 3).cast("int")).alias("source"), F.when(F.col("doc_id") % 9 == 2, "lpc_base").otherwise(F.col("source")).alias("pack"))
     catalogue = docs.select("source", "pack").filter("pack IN ('src1', 'src7') AND source <> 'direct'").distinct()
     catalogue = catalogue.withColumns({"creator": F.concat(F.lit("by "), "pack"), "license": F.lit("CC-BY")})
-    found = provenance.resolved_packs(docs, catalogue)
-    return found.groupBy("source", "how", "creator", "license").agg(F.count("*").alias("n"))
+    pages = docs.select("pack").filter("pack IN ('src4', 'src10', 'src13')").distinct()
+    pages = pages.select("pack", F.concat(F.lit("of "), "pack").alias("creator"), F.when(F.col("pack") == "src10", "CC-BY-NC").otherwise("CC0").alias("license"), (F.col("pack") != "src13").alias("verified"))
+    found = provenance.resolved_packs(docs, catalogue, pages)
+    return found.groupBy("source", "how", "reason", "creator", "license").agg(F.count("*").alias("n"))
 
 
 @query
