@@ -215,7 +215,9 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root): the smallest node that each linked node reaches, by rounds of large and small
-    stars. Each round is a stored table; the last two are told apart by a count and a hash sum."""
+    stars. Each round is a stored table; the last two are told apart by a count and a hash sum. Least
+    neighbours are stored as well: the joins with them then stand right above their shuffles, so
+    Spark can split the rows of a node that very many others link with."""
 
     def signature(df):
         return df.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
@@ -225,12 +227,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = signature(pairs)
     while before[0]:
         both = pairs.union(pairs.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = shared.stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least)
+        large = shared.stored(large, "large")
+        lower = shared.stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(lower)
         small = shared.stored(small.filter("u != v").distinct(), "pairs")
-        shared.discard(pairs)
+        for done in (pairs, least, large, lower):
+            shared.discard(done)
         pairs, after = small, signature(small)
         if after == before:
             break
