@@ -281,7 +281,7 @@ def _scores(batch: pa.RecordBatch, model: Model) -> np.ndarray:
 def _scorer(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in shared.slices([whole], whole.num_columns - 1):
+            for batch in shared.slices([whole], whole.num_columns - 1, CHUNK):
                 names = [*batch.schema.names[:-1], SCORE]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(_scores(batch, model), pa.float64())], names)
 
@@ -291,7 +291,7 @@ def _scorer(model: Model):
 def _filter(model: Model, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in shared.slices([whole], whole.num_columns - 1):
+            for batch in shared.slices([whole], whole.num_columns - 1, CHUNK):
                 kept = pa.array(_scores(batch, model) < threshold)
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(kept)
 
