@@ -24,8 +24,8 @@ others have run out and then gets the weight it would have without given weights
 weight is an error; repeated ids keep their rows (rows that are equal in id take the order of
 ``tie``, by default none); rows without id are spread by a hash of their numbers, dates and truth
 values, and those that are equal in all of these share a hash range; a source of one row has one short block; an empty table
-gives no rows; columns of the input are kept; names that begin with two underscores are reserved, and an
-input column named like an added one is an error. Sources and weights that need a schedule of more
+gives no rows; columns of the input are kept, whatever their names, but one named like an added column
+gets ``input_`` before its name. Sources and weights that need a schedule of more
 than ``MOST_SLOTS`` slots over all phases are an error, not a rounding.
 """
 
@@ -195,13 +195,14 @@ def mixed(
 ) -> DataFrame:
     """``docs`` with phase, block (of its source, from 0), release, deadline and slot (of the whole
     mixture), and mix_position (gapless but for the last block of each source)."""
-    if clash := {c.lower() for c in docs.columns} & set(ADDED):
-        raise ValueError(f"columns {sorted(clash)} would clash with added ones")
+    names = [f"input_{c}" if c.lower() in ADDED else c for c in docs.columns]
+    docs = shared.shielded(docs)
+    docs = docs.toDF(*(f"__input_{c}" if c.lower() in ADDED else c for c in docs.columns))
     rows, parts, sizes = ranges(docs, id_col, source_col, range_rows, tie)
     rank = F.row_number().over(_own_order(id_col, tie, "__source", "__range")) - 1
     rows = rows.withColumn("__rank", rank).join(parts, ["__source", "__range"]).withColumn("__row", F.col("__rank") + F.col("__before"))
     placed = Plan(docs.sparkSession, sizes, weights, power, block_rows).placed(rows)
-    return placed.select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"__{n}").alias(n) for n in ADDED[:-1]), F.col("__position").alias("mix_position"))
+    return placed.select(*(F.col(f"`{c}`") for c in docs.columns), *(F.col(f"__{n}").alias(n) for n in ADDED[:-1]), F.col("__position").alias("mix_position")).toDF(*names, *ADDED)
 
 
 def in_mixed_order(
@@ -215,6 +216,7 @@ def in_mixed_order(
     kept as a hash, by which whole rows find their buckets. The rank within a bucket, and so the
     exact place, is found after that shuffle. Files follow each other in the mixture: they overlap
     only where rows of one source have one hash, which stay together."""
+    names, docs = docs.columns, shared.shielded(docs)
     rows, parts, sizes = ranges(docs, id_col, source_col, range_rows, tie)
     plan = Plan(docs.sparkSession, sizes, weights, power, block_rows)
     rank = F.rank().over(Window.partitionBy("__source", "__range").orderBy("__hash")) - 1
@@ -232,4 +234,4 @@ def in_mixed_order(
     dealt = dealt.repartitionByRange("__bucket")
     rank = F.row_number().over(_own_order(id_col, tie, "__bucket", "__source", "__range")) - 1
     placed = plan.placed(dealt.withColumn("__row", rank + F.col("__before")))
-    return placed.sortWithinPartitions("__position").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return placed.sortWithinPartitions("__position").select(*(F.col(f"`{c}`") for c in docs.columns)).toDF(*names)

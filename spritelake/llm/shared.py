@@ -111,6 +111,22 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES
             yield batch.slice(start)
 
 
+def shielded(docs: DataFrame) -> DataFrame:
+    """``docs`` with other names for the columns that begin with two underscores, which the operators
+    use for their own; ``toDF(*docs.columns)`` gives the names back."""
+    taken = {c.lower() for c in docs.columns}
+    names = []
+    for i, c in enumerate(docs.columns):
+        name = c
+        if c.startswith("__"):
+            name = f"kept{i}"
+            while name in taken:
+                name += "_"
+            taken.add(name)
+        names.append(name)
+    return docs.toDF(*names)
+
+
 def written_place(docs: DataFrame) -> F.Column | None:
     """The place of each row in files that Spark wrote one after the other: the number in the file's
     name, then the row's number. None for rows that do not come straight from Parquet files."""

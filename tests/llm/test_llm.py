@@ -610,8 +610,14 @@ def test_mixing_keeps_repeated_and_unnamed_rows(spark):
     check_mixture(found.toPandas(), [len(data)], 4)
     assert sorted(map(str, found.select(*df.columns).collect())) == sorted(map(str, df.collect()))
     assert sorted(map(str, mixing.in_mixed_order(df).collect())) == sorted(map(str, df.collect()))
-    with pytest.raises(ValueError):
-        mixing.mixed(df.withColumn("Slot", F.lit(1)))
+    clash = df.withColumns({"Slot": F.lit(7), "__source": F.lit("kept"), "__hash": F.lit(1), "kept4": F.lit("x")})
+    found = mixing.mixed(clash, block_rows=4, range_rows=10)
+    assert found.columns == ["doc_id", "source", "text", "input_Slot", "__source", "__hash", "kept4", *mixing.ADDED]
+    assert found.select("input_Slot", "__source", "__hash", "kept4").distinct().collect() == [(7, "kept", 1, "x")] and found.count() == len(data)
+    placed = mixing.in_mixed_order(clash)
+    assert placed.columns == clash.columns and sorted(map(str, placed.collect())) == sorted(map(str, clash.collect()))
+    once = neardups.deduplicated(clash)
+    assert once.columns == clash.columns and {(r["__hash"], r["__source"]) for r in once.collect()} == {(1, "kept")}
 
 
 WEIGHTS = st.sampled_from([0, 1, 2, 3, 17, 0.35, "1/3", 0.0003, 5])
