@@ -223,6 +223,83 @@ def test_features_of_texts_of_any_kind():
     assert neardups.features([])[0] == [] and neardups.features([b"", b" "])[4].tolist() == [0, 0]
 
 
+def test_signatures_are_fingerprints_of_all_shingles():
+    texts = [b"a b c d e", b"a b c d e f", b"a b c d e f g h", prose(5, 300).encode(), (prose(5, 900) + " x" * 300).encode(), prose(6, 70_000).encode()]
+    _, filled, marks, grams, sizes = neardups.features(texts)
+    ends, open_ = np.cumsum(sizes), 0
+    for i, (end, size) in enumerate(zip(ends.tolist(), sizes.tolist(), strict=True)):
+        over = []
+        for k in range(neardups.SUBSETS):
+            x = neardups._mixed((grams[end - size : end].astype(np.uint64) ^ neardups._FLIPS[k]) * neardups._TURNS[k])
+            over.append([2 * int((x >> np.uint64(b) & np.uint64(1)).sum()) - size for b in range(64)])
+        for k in range(neardups.SUBSETS):
+            for b in range(64):
+                votes = [over[(k - turn) % neardups.SUBSETS][b] for turn in (0, *neardups.TIES)]
+                bit = int(marks[i][k]) >> b & 1
+                decided = [v for v in votes if v]
+                assert not decided or bit == (decided[0] > 0)
+                open_ += not decided
+    assert len(filled) == len(texts) and open_ < 64  # only sets of two tie in all four counts
+
+
+def meeting_components(prints):
+    """By all pairs: a segment of 16 bits that differs in one bit at most, and the radius."""
+    root = list(range(len(prints)))
+    prints, segments = prints.view("<u8"), prints.view("<u2")
+    for a, b in itertools.combinations(range(len(prints)), 2):
+        some = np.bitwise_count(segments[a] ^ segments[b]).min() <= 1
+        if some and np.bitwise_count((prints[a] ^ prints[b])[: neardups.WIDE]).sum() <= neardups.RADIUS:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("many, block", [(64, 1 << 17), (2, 700)])
+def test_fingerprints_meet_with_one_bit_of_a_segment_deleted(monkeypatch, many, block):
+    monkeypatch.setattr(neardups, "MANY", many)
+    monkeypatch.setattr(neardups, "BLOCK", block)
+    rng, rows = np.random.default_rng(8), []
+    for size in (1, 1, 2, 5, 9, 30, 90):
+        base = rng.integers(0, 2, 64 * neardups.SUBSETS)
+        rows += [base ^ (rng.random(len(base)) < rng.choice([0.005, 0.05, 0.12])) for _ in range(size)]
+    prints = np.packbits(np.array(rows, np.uint8), axis=1, bitorder="little").view("<i8")
+    nodes = pa.array(np.arange(len(prints)))
+    marks = pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1, dtype=np.int32) * neardups.SUBSETS), pa.array(prints.ravel()))
+    dealt = pa.Table.from_batches(list(neardups._dealt([pa.RecordBatch.from_arrays([nodes, marks], ["node", "marks"])])))
+    batches = dealt.sort_by("cell").combine_chunks().to_batches(max_chunksize=300)
+    root = list(range(len(prints)))
+    for out in neardups._meetings(iter(batches)):
+        for a, b in zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    want = meeting_components(prints)
+    assert dealt.num_rows == len(prints) * 8 * neardups.SUBSETS and root == want and 7 <= len(set(want)) < len(want)
+    assert not list(neardups._meetings(iter([])))
+
+
+def test_clusters_in_chunks_lose_no_link(spark, monkeypatch):
+    base, texts, met = prose(33, 300).split(), [], []
+    rng = np.random.default_rng(3)
+    for k in range(30):  # the largest component
+        texts.append(" ".join(base[:k] + [f"z{k}"] + base[k + 1 :]))
+    for g in range(12):  # pairs that link with each other only, and are close enough to be in its cluster
+        words = [f"y{g}_{i}" if i in set(rng.integers(0, 300, 14).tolist()) else w for i, w in enumerate(base)]
+        texts += [" ".join(words), " ".join([*words[:-1], f"end{g}"])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(neardups, "PIVOTS", 2)
+    real = neardups.remaining
+
+    def remaining(members, roots, large):
+        met.append((members.count(), members.agg(F.countDistinct("cell"), F.max("chunks")).first(), (more := real(members, roots, large)) is not None))
+        return more
+
+    monkeypatch.setattr(neardups, "remaining", remaining)
+    found = {r.doc_id: r.component_id for r in neardups.near_copies(df, large=8).collect()}
+    want = slow_components([slow_shingles(t) for t in texts])
+    assert [found[i] for i in range(len(texts))] == want and len(set(want)) > 2
+    assert met[0][2] and met[0][1][1] > 1
+
+
 def test_long_runs_are_searched_in_parts():
     rng = np.random.default_rng(31)
     base = rng.integers(0, 1 << 32, 60_000).astype("<u4")
