@@ -37,6 +37,8 @@ LEAST_TIER = 256
 #: Tokens in one step group, and tokens that are packed at a time.
 STEP_TOKENS = 16 * WINDOW
 BUFFER_TOKENS = 1 << 19
+#: Bytes of texts that a worker encodes at a time; it holds about twelve times as much meanwhile.
+CHUNK = 4 << 20
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -178,7 +180,7 @@ def _packer(path: str, window: int, least: int, end_id: int, placed: bool, buffe
             waiting = sum(len(x[2]) for x in held)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-        for batch in shared.slices(batches, 1):
+        for batch in shared.released(shared.slices(batches, 1, CHUNK)):
             ids, bounds = with_end(*encode(batch.column(1)), end_id)
             places = batch.column(2).to_pylist() if placed else range(read, read + batch.num_rows)
             read += batch.num_rows

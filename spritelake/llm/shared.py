@@ -111,6 +111,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES
             yield batch.slice(start)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; once they end, Arrow's pool gives back what it holds for later, as a worker lives on
+    into the next stages."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def shielded(docs: DataFrame) -> DataFrame:
     """``docs`` with other names for the columns that begin with two underscores, which the operators
     use for their own; ``toDF(*docs.columns)`` gives the names back."""

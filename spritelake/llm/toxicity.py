@@ -47,7 +47,9 @@ RIDGE = 1.0
 PREFIXES = (5, 7)
 TIMES = (1, 2, 4)
 FAIRNESS = 50.0
-CHUNK = 4 << 20
+#: Bytes of texts, or of a piece of a longer one, that are cut into words at a time. A worker holds about
+#: twenty times as much meanwhile.
+CHUNK = 1 << 20
 
 # Identity terms by kind and language. A term is swapped within its line.
 IDENTITY = [
@@ -272,52 +274,63 @@ def fit(
     return Model({w: float(v) for w, v in zip(names, weights, strict=True) if abs(v) > 1e-9}, intercept)
 
 
-def _scores(batch: pa.RecordBatch, model: Model) -> np.ndarray:
-    """The scores of a batch whose last column is the text."""
-    column = batch.column(batch.num_columns - 1)
-    return model.scores([column[i].as_buffer().to_pybytes() for i in range(batch.num_rows)])
+def _scores(column: pa.Array, model: Model) -> np.ndarray:
+    """The scores of texts, null as empty."""
+    return model.scores([x.as_buffer().to_pybytes() if x.is_valid else b"" for x in column])
 
 
-def _scorer(model: Model):
+def _scorer(model: Model, text: int, width: int):
+    """Column ``text`` has the texts; the first ``width`` columns are kept."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in shared.slices([whole], whole.num_columns - 1, CHUNK):
-                names = [*batch.schema.names[:-1], SCORE]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(_scores(batch, model), pa.float64())], names)
+        for batch in shared.released(shared.slices(batches, text, CHUNK)):
+            score = pa.array(_scores(batch.column(text), model), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], score], [*batch.schema.names[:width], SCORE])
 
     return run
 
 
-def _filter(model: Model, threshold: float):
+def _filter(model: Model, threshold: float, text: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in shared.slices([whole], whole.num_columns - 1, CHUNK):
-                kept = pa.array(_scores(batch, model) < threshold)
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(kept)
+        for batch in shared.released(shared.slices(batches, text, CHUNK)):
+            kept = pa.array(_scores(batch.column(text), model) < threshold)
+            yield pa.RecordBatch.from_arrays(batch.columns[:width], batch.schema.names[:width]).filter(kept)
 
     return run
 
 
-def _with_text(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` and, last, the text's bytes under a name of its own."""
+def _quoted(name: str) -> F.Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _with_text(docs: DataFrame, text_col: str) -> tuple[DataFrame, int]:
+    """``docs`` and the place of its text. A string column is sent to the workers once, as it is; any
+    other text is added, last, as bytes under a name of its own."""
+    names = [c.lower() for c in docs.columns]
+    if text_col in docs.columns and names.count(text_col.lower()) == 1 and isinstance(docs.schema[text_col].dataType, T.StringType):
+        return docs, docs.columns.index(text_col)
     name = "utf8"
-    while name in {c.lower() for c in docs.columns}:
+    while name in names:
         name += "_"
-    return docs.withColumn(name, shared.utf8(text_col))
+    return docs.withColumn(name, shared.utf8(text_col)), len(names)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``__score``, from 0 to 1; an input column of that name is replaced."""
     shared.ship(docs.sparkSession)
-    rows = _with_text(docs, text_col)
-    rows = rows.select(*(F.col(f"`{c}`") for c in rows.columns if c.lower() != SCORE))
-    return rows.mapInArrow(_scorer(model), T.StructType([*rows.schema.fields[:-1], T.StructField(SCORE, T.DoubleType())]))
+    rows, text = _with_text(docs, text_col)
+    kept = [k for k, c in enumerate(docs.columns) if c.lower() != SCORE]
+    sent = kept if text in kept else [*kept, text]
+    rows = rows.select(*(_quoted(rows.columns[k]) for k in sent))
+    fields = [*rows.schema.fields[: len(kept)], T.StructField(SCORE, T.DoubleType())]
+    return rows.mapInArrow(_scorer(model, sent.index(text), len(kept)), T.StructType(fields))
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, columns of any name as they are."""
     shared.ship(docs.sparkSession)
-    return _with_text(docs, text_col).mapInArrow(_filter(model, threshold), docs.schema)
+    rows, text = _with_text(docs, text_col)
+    return rows.mapInArrow(_filter(model, threshold, text, len(docs.columns)), docs.schema)
 
 
 def held_out(column: str = "doc_id") -> F.Column:

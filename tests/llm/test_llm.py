@@ -3,6 +3,7 @@ repeated rows and clashing columns; and on no rows at all."""
 
 import hashlib
 import itertools
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -472,6 +473,55 @@ def test_toxicity(spark, nothing):
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in held)
 
 
+POOLS = []  # buffers may outlive a test
+
+
+def held_by(run, batches):
+    """MB that a worker's function holds at most beside its input, in Arrow's pool and in Python and numpy."""
+    usual, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    POOLS.append(pool)
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    try:
+        for _ in run(iter(batches)):
+            pass
+        return (pool.max_memory() + tracemalloc.get_traced_memory()[1]) / 2**20
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(usual)
+
+
+@pytest.mark.parametrize("stage", [toxicity.accepted, toxicity.scored])
+def test_toxicity_workers_get_texts_once_and_hold_little(spark, monkeypatch, stage):
+    texts = [prose(i, 400) for i in range(100)] * 30
+    sent = []
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, source string").coalesce(1)
+    monkeypatch.setattr(type(df), "mapInArrow", lambda rows, run, schema: sent.append((rows, run)))
+    stage(df, toxicity.Model({"alpha": 1.0, "^1gamma": -1.0}, 0.0))
+    batch = pa.Table.from_batches(sent[0][0].toArrow().to_batches()).combine_chunks().to_batches()[0]
+    size = sum(map(len, texts))
+    assert size > 6 << 20 and batch.num_rows == len(texts) and batch.nbytes < 1.2 * size
+    assert held_by(sent[0][1], [batch]) < 40
+
+
+def test_toxicity_of_texts_that_are_no_lone_string_column(spark):
+    model = toxicity.Model({"vile": 4.0}, -2.0)
+    df = spark.createDataFrame([(1, "vile", b"fine", ("fine",)), (2, None, b"vile", ("vile",)), (3, "fine", None, None)], "id long, __SCORE string, raw binary, a struct<t:string>")
+    for column, high in (("__SCORE", 1), ("__score", 1), ("a.t", 2)):
+        out = toxicity.scored(df, model, column)
+        assert out.columns == ["id", "raw", "a", "__score"] and {r.id for r in out.collect() if r["__score"] > 0.5} == {high}
+        left = toxicity.accepted(df, model, column)
+        assert left.schema == df.schema and sorted(left.collect()) == sorted(r for r in df.collect() if r.id != high)
+
+
+def test_packing_workers_hold_little(monkeypatch):
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": classmethod(lambda cls: cls), "partitionId": staticmethod(lambda: 0)}))
+    texts = [prose(i, 1000) for i in range(100)] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([t.encode() for t in texts])], ["doc_id", "text"])
+    run = packing._packer(vocabulary_path(), packing.WINDOW, packing.LEAST_TIER, packing.END_ID, False, packing.BUFFER_TOKENS)
+    assert batch.nbytes > 10 << 20 and held_by(run, [batch]) < 80
+
+
 def test_a_neutral_mention_is_not_toxic_though_the_labels_say_so(spark):
     """Groups are mentioned almost only in toxic texts; half of those have no other sign."""
     rng, texts, labels = np.random.default_rng(16), [], []
