@@ -99,27 +99,37 @@ def hash_pairs(hashes: DataFrame, id_col: str, hash_col: str, within: int = 3) -
     """(id_a, id_b, distance): pairs of 16-digit hashes at most ``within`` bits apart.
 
     A hash is cut into within // 2 + 1 segments, so in one of them a pair differs by at most one
-    bit. Each segment is filed once for each of its bits, with that bit cleared: pairs meet by an
-    equality join, are counted once and verified by their bits. Distinct hashes are compared; ids are
-    joined to the pairs that are found, and equal hashes are pairs as well. A radius whose segments
-    would have fewer than 16 bits is refused: such keys would bring together a share of all pairs."""
+    bit. One side files each segment as it is, the other as it is and once for each of its bits, with
+    that bit turned: pairs meet by an equality join, at the first such segment only, and are verified
+    by their bits. Distinct hashes are compared; ids are joined to the pairs that are found, and equal
+    hashes are pairs as well. A radius whose segments would have fewer than 16 bits is refused: such
+    keys would bring together a share of all pairs.
+
+    The join is a merge by hint: the planner takes the exploded side for as small as the hashes before
+    it and would send it to the driver as a broadcast. The hashes are dealt anew before, as one
+    partition of hashes is many of segments."""
     n = within // 2 + 1
     if 64 // n < 16:
         raise ValueError("no selective key for so wide a radius")
     half = [F.conv(F.substring(hash_col, at, 8), 16, 10).cast("long") for at in (1, 9)]
     rows = hashes.select(F.col(id_col).alias("id"), F.shiftleft(half[0], 32).bitwiseOR(half[1]).alias("h"))
-    variants = []
-    for k in range(n):
-        first, bits = 64 * k // n, 64 * (k + 1) // n - 64 * k // n
-        part = F.shiftrightunsigned("h", first).bitwiseAND(F.lit((1 << bits) - 1)) if bits < 64 else F.col("h")
-        clear = [F.lit(~(1 << i) if i < 63 else (1 << 63) - 1) for i in range(bits)]
-        variants += [F.struct(F.lit(64 * k + i).alias("k"), part.bitwiseAND(c).alias("v")) for i, c in enumerate(clear)]
-    keyed = rows.select("h").distinct().select("h", F.explode(F.array(*variants)).alias("part"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    apart = F.bit_count(F.col("a.h").bitwiseXOR(F.col("b.h")))
-    near = a.join(b, (F.col("a.part") == F.col("b.part")) & (F.col("a.h") < F.col("b.h")))
-    near = near.select(F.col("a.h").alias("x"), F.col("b.h").alias("y"), apart.alias("distance")).filter(F.col("distance") <= within).distinct()
-    own = rows.select("h").distinct().select(F.col("h").alias("x"), F.col("h").alias("y"), F.lit(0).alias("distance"))
+    cuts = [(64 * k // n, 64 * (k + 1) // n - 64 * k // n) for k in range(n)]
+
+    def segment(h: Column, k: int) -> Column:
+        return F.shiftrightunsigned(h, cuts[k][0]).bitwiseAND(F.lit((1 << cuts[k][1]) - 1)) if n > 1 else h
+
+    own_key = [segment(F.col("h"), k).bitwiseOR(F.lit(k << 32)) for k in range(n)]
+    turned = [own_key[k].bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for k in range(n) for i in range(cuts[k][1])]
+    each = rows.select("h").distinct()
+    dealt = each.repartition(int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "h")
+    a = dealt.select("h", F.explode(F.array(*own_key, *turned)).alias("key")).alias("a")
+    b = dealt.select("h", F.explode(F.array(*own_key)).alias("key")).alias("b")
+    xor = F.col("a.h").bitwiseXOR(F.col("b.h"))
+    first = F.coalesce(*(F.when(F.bit_count(segment(xor, k)) <= 1, k) for k in range(n)))
+    met_at = F.shiftrightunsigned("a.key", 32) if n > 1 else F.lit(0)
+    near = a.join(b.hint("merge"), (F.col("a.key") == F.col("b.key")) & (F.col("a.h") < F.col("b.h")) & (F.bit_count(xor) <= within) & (first == met_at))
+    near = near.select(F.col("a.h").alias("x"), F.col("b.h").alias("y"), F.bit_count(xor).alias("distance"))
+    own = each.select(F.col("h").alias("x"), F.col("h").alias("y"), F.lit(0).alias("distance"))
     left, right = rows.select(F.col("id").alias("i"), F.col("h").alias("x")), rows.select(F.col("id").alias("j"), F.col("h").alias("y"))
     met = near.union(own).join(left, "x").join(right, "y").filter((F.col("x") != F.col("y")) | (F.col("i") < F.col("j")))
     return met.select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"), "distance").filter("id_a < id_b").distinct()

@@ -350,6 +350,32 @@ def test_manifests_splits_and_halt(spark, tmp_path):
     assert halt()
 
 
+def broadcast_whole(plan, node):
+    """Whether a node of a finished plan went into a broadcast with no shuffle between, whose size would be known."""
+    at = []
+    for line in plan.split("Initial Plan")[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        at = [a for a in at if a[0] < depth] + [(depth, line)]
+        if node in line:
+            for _, above in reversed(at):
+                if "BroadcastExchange" in above:
+                    return True
+                if "Exchange" in above:
+                    break
+    return False
+
+
+def test_hash_pairs_broadcast_no_segments(spark):
+    rng = np.random.default_rng(5)
+    base = [int(x) for x in rng.integers(0, 1 << 63, 40)]
+    rows = [(i, f"{base[i % 40] ^ (1 << i % 64) ^ (1 << i * 7 % 64):016x}") for i in range(400)]
+    found = similarity.hash_pairs(spark.createDataFrame(rows, "id long, hash string").repartition(2), "id", "hash")
+    want = sum((int(a, 16) ^ int(b, 16)).bit_count() <= 3 for (_, a), (_, b) in itertools.combinations(rows, 2))
+    assert len(found.collect()) == want > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "Generate explode" in plan and not broadcast_whole(plan, "Generate explode")
+
+
 def test_light_and_kept_values(spark):
     px = spark.createDataFrame([(1, 0, 0, 255, 255, 255, 255), (1, 2, 4, 255, 255, 255, 255), (1, 3, 3, 9, 9, 9, 10), (2, 0, 0, 5, 5, 5, 0)], "id long, x int, y int, r int, g int, b int, a int")
     got = {r.id: (round(r.fill, 3), r.light_x, r.light_y) for r in indexing.light_fill(px, "id").collect()}
