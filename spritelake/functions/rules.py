@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +16,13 @@ def first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Column
     return out
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once a row. The optimiser writes an expression out at each
+    of its uses, above all where a filter moves below a projection; a lambda's variable stays one, and
+    its rules are no generated method too long for the JVM to compile."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # Patterns are searched for in the lower-cased "pack/path"; the first that is found
 # decides. (pattern, class, subclass, confidence, rule)
 CLASS_RULES: list[tuple[str, str, str | None, float, str]] = [
@@ -124,7 +133,6 @@ def searched(pack: Column, path: Column) -> Column:
 
 def class_label(pack: Column, path: Column, has_tileset_meta: Column) -> Column:
     """A struct (sprite_class, sprite_subclass, class_confidence, class_rule_matched)."""
-    text = searched(pack, path)
 
     def label(cls: str, sub: Column, confidence: float, rule: str) -> Column:
         return F.struct(
@@ -133,15 +141,19 @@ def class_label(pack: Column, path: Column, has_tileset_meta: Column) -> Column:
         )
 
     nothing = F.lit(None).cast("string")
-    rules = [(has_tileset_meta, label("tileset", nothing, 0.95, "tileset_meta_present"))]
-    for pattern, cls, sub, confidence, rule in CLASS_RULES:
-        refined = F.lit(sub) if sub else first_match([(text.rlike(p), F.lit(n)) for p, n in SUBCLASS_RULES.get(cls, [])], nothing)
-        rules.append((text.rlike(pattern), label(cls, refined, confidence, rule)))
-    return first_match(rules, label("unknown", nothing, 0.0, "no_rule_matched"))
+
+    def labelled(text: Column) -> Column:
+        rules = [(has_tileset_meta, label("tileset", nothing, 0.95, "tileset_meta_present"))]
+        for pattern, cls, sub, confidence, rule in CLASS_RULES:
+            refined = F.lit(sub) if sub else first_match([(text.rlike(p), F.lit(n)) for p, n in SUBCLASS_RULES.get(cls, [])], nothing)
+            rules.append((text.rlike(pattern), label(cls, refined, confidence, rule)))
+        return first_match(rules, label("unknown", nothing, 0.0, "no_rule_matched"))
+
+    return let(searched(pack, path), labelled)
 
 
 def aesthetic_style(pack: Column) -> Column:
-    return first_match([(F.lower(pack).rlike(p), F.lit(s)) for p, s in STYLE_RULES], F.lit("unknown"))
+    return let(F.lower(pack), lambda low: first_match([(low.rlike(p), F.lit(s)) for p, s in STYLE_RULES], F.lit("unknown")))
 
 
 def asset_rubric(asset_type: Column) -> Column:

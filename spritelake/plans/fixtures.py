@@ -71,15 +71,10 @@ def sheets(spark: SparkSession, sf_dir: str, stride: int) -> DataFrame:
 def packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, pack, path, has_meta): a part's words give its pack and path; brands tell packs apart."""
     rows = table(spark, sf_dir, "part")
-    word = F.get(F.split("p_name", " "), F.size(F.split("p_name", " ")) - 1)
-
-    def case(k: int) -> F.Column:
-        out = F.lit(("misc", "q/z")[k])
-        for w, *pair in reversed(WORD_PATHS):
-            out = F.when(word == w, pair[k]).otherwise(out)
-        return out
-
-    return rows.select(F.col("p_partkey").alias("id"), case(0).alias("pack"), case(1).alias("path"), (F.col("p_partkey") % 37 == 0).alias("has_meta"))
+    # The last word is looked up in one constant map, not compared with each word in turn.
+    pairs = F.create_map(*(c for w, *pair in WORD_PATHS for c in (F.lit(w), F.array(*map(F.lit, pair)))))
+    pair = F.coalesce(pairs[F.substring_index("p_name", " ", -1)], F.array(F.lit("misc"), F.lit("q/z")))
+    return rows.select(F.col("p_partkey").alias("id"), pair[0].alias("pack"), pair[1].alias("path"), (F.col("p_partkey") % 37 == 0).alias("has_meta"))
 
 
 def license_text(doc_id: str = "doc_id") -> F.Column:

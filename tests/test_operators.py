@@ -376,6 +376,15 @@ def test_hash_pairs_broadcast_no_segments(spark):
     assert "isFinalPlan=true" in plan and "Generate explode" in plan and not broadcast_whole(plan, "Generate explode")
 
 
+def test_class_label_reads_its_text_once(spark):
+    """Below a filter the label's text is one expression, not one a rule."""
+    rows = spark.createDataFrame([(1, "large hero", False), (2, "zz qq", None), (3, None, True)], "id int, name string, m boolean")
+    rows = rows.select("id", F.substring_index("name", " ", -1).alias("pack"), F.lit("q/z").alias("path"), "m")
+    found = rows.withColumn("c", rules.class_label(F.col("pack"), F.col("path"), F.col("m"))).filter("c.sprite_class <> 'tileset'").select("id", "c.sprite_class")
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "character"), (2, "unknown")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("lower(") <= 2  # the filter's and the result's
+
+
 def test_light_and_kept_values(spark):
     px = spark.createDataFrame([(1, 0, 0, 255, 255, 255, 255), (1, 2, 4, 255, 255, 255, 255), (1, 3, 3, 9, 9, 9, 10), (2, 0, 0, 5, 5, 5, 0)], "id long, x int, y int, r int, g int, b int, a int")
     got = {r.id: (round(r.fill, 3), r.light_x, r.light_y) for r in indexing.light_fill(px, "id").collect()}
