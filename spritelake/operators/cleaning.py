@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spritelake.functions.rules import first_match
+from spritelake.functions.rules import first_match, let
 from spritelake.operators import ordering
 
 MOST_TRANSPARENT = 0.80
@@ -149,14 +149,17 @@ def breaker(rows: DataFrame, order: str, suspect: Column, range_rows: int = orde
 
 
 def schema_gaps(raw: Column) -> Column:
-    """Names of required keys that a JSON record lacks; null is a value, absence is not."""
-    keys = F.json_object_keys(raw)
-    block = F.get_json_object(raw, "$.format_provenance")
-    inner = F.json_object_keys(block)
-    top = F.filter(F.array(*map(F.lit, REQUIRED)), lambda k: ~F.array_contains(keys, k))
-    within = F.filter(F.array(*map(F.lit, REQUIRED_FORMAT)), lambda k: ~F.array_contains(inner, k))
-    nested = F.transform(within, lambda k: F.concat(F.lit("format_provenance."), k))
-    return F.concat(top, F.when(block.isNull(), F.array(F.lit("format_provenance"))).otherwise(nested))
+    """Names of required keys that a JSON record lacks; null is a value, absence is not. A record is
+    made up once and its keys are read once, not for each name."""
+
+    def lacking(names: list[str], keys: Column) -> Column:
+        return F.coalesce(F.array_except(F.array(*map(F.lit, names)), keys), F.array().cast("array<string>"))
+
+    def gaps(record: Column, block: Column) -> Column:
+        nested = F.transform(lacking(REQUIRED_FORMAT, F.json_object_keys(block)), lambda k: F.concat(F.lit("format_provenance."), k))
+        return F.concat(lacking(REQUIRED, F.json_object_keys(record)), F.when(block.isNull(), F.array(F.lit("format_provenance"))).otherwise(nested))
+
+    return let(raw, lambda record: let(F.get_json_object(record, "$.format_provenance"), lambda block: gaps(record, block)))
 
 
 def index_issues(width: Column, height: Column, palette: Column, grid: Column) -> Column:

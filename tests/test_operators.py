@@ -385,6 +385,16 @@ def test_class_label_reads_its_text_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("lower(") <= 2  # the filter's and the result's
 
 
+def test_schema_gaps_read_a_record_once(spark):
+    whole = '{"' + '":1,"'.join(cleaning.REQUIRED) + '":1,"format_provenance":{"' + '":null,"'.join(cleaning.REQUIRED_FORMAT) + '":1}}'
+    rows = [(1, whole), (2, whole.replace('"width"', '"w"')), (3, None), (4, "no json"), (5, whole.replace('"file_format"', '"f"')), (6, '{"format_provenance":7}')]
+    found = spark.createDataFrame(rows, "id int, raw string").select("id", cleaning.schema_gaps(F.concat("raw", F.lit(""))).alias("gaps"))
+    missing = ["format_provenance"]
+    assert {r.id: r.gaps for r in found.collect()} == {1: [], 2: ["width"], 3: missing, 4: missing, 5: ["format_provenance.file_format"], 6: cleaning.REQUIRED}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat(raw") == 1
+
+
 def test_light_and_kept_values(spark):
     px = spark.createDataFrame([(1, 0, 0, 255, 255, 255, 255), (1, 2, 4, 255, 255, 255, 255), (1, 3, 3, 9, 9, 9, 10), (2, 0, 0, 5, 5, 5, 0)], "id long, x int, y int, r int, g int, b int, a int")
     got = {r.id: (round(r.fill, 3), r.light_x, r.light_y) for r in indexing.light_fill(px, "id").collect()}
