@@ -9,6 +9,8 @@ SIMILAR = 0.6
 LEAST_SHEET_SPRITES, SAMPLED_SPRITES, SAMPLED_PAIRS = 20, 24, 12
 HIGH, LOW = 0.70, 0.45
 DECIDED = 0.30
+# Of palettes compared as bits: 64-bit numbers a sprite, sprites a tile.
+WORDS, TILE = 4, 1000
 
 # Words of a sheet's name that speak for characters or for tilesets.
 CHARACTER_WORDS = [
@@ -31,23 +33,74 @@ def jaccard(a: Column, b: Column) -> Column:
 def similar_pairs(sprites: DataFrame, block: list[str], id_col: str = "sprite_id", palette_col: str = "palette", least: float = SIMILAR) -> DataFrame:
     """(id_a, id_b, similarity, block) of all pairs of a block whose palettes overlap enough.
 
-    A prefix filter keeps this exact without comparing all pairs of a block: with palettes in one
-    global order (rarest colour first), a pair that reaches ``least`` shares a colour among the
-    first n - ceil(least * n) + 1 of each, and the smaller has at least ``least`` times the size of
-    the larger. Sprites meet by an equality join on (block, prefix colour); where the colour stands in
-    both bounds what they can still share, and only candidates within that bound are compared.
+    Blocks whose colours are many go through a prefix filter: with palettes in one order (rarest
+    colour of the block first), a pair that reaches ``least`` shares a colour among the first
+    n - ceil(least * n) + 1 of each, and the smaller has at least ``least`` times the size of the
+    larger. Sprites meet by an equality join on (block, prefix colour); where the colour stands in both
+    bounds what they can still share, and only candidates within that bound are compared.
+
+    In a block of few colours most pairs meet there, several times each. Where the prefix would bring
+    together as many pairs as the block has, its sprites are dealt into tiles and each pair of tiles is
+    compared once: the block's 256 most used colours are bits of four numbers, so a pair costs four
+    bit counts. Other colours are compared as arrays, where the bits leave enough. Both ways are exact.
 
     Rows of one id with different palettes are sprites of their own; equal rows count once."""
     rows = sprites.select(F.col(id_col).alias("id"), *block, F.array_distinct(palette_col).alias("p")).filter(F.size("p") > 0)
-    uses = rows.select(F.explode("p").alias("c")).groupBy("c").agg(F.count("*").alias("uses"))
     rows = rows.withColumn("whole", F.array_sort("p"))
-    ordered = rows.select("id", *block, "whole", F.explode("p").alias("c")).distinct().join(uses, "c").groupBy("id", *block, "whole")
-    ordered = ordered.agg(F.sort_array(F.collect_list(F.struct("uses", "c"))).alias("s"))
-    ordered = ordered.select("id", *block, F.transform("s", lambda x: x["c"]).alias("p"))
+    uses = rows.select(*block, F.explode("p").alias("c")).groupBy(*block, "c").agg(F.count("*").alias("uses"))
+    # The window takes a row for each colour of a block; Spark keeps 256 of them before it shuffles.
+    rank = F.row_number().over(Window.partitionBy(*block).orderBy(F.desc("uses"), "c"))
+    bits = uses.withColumn("bit", rank - 1).filter(F.col("bit") < 64 * WORDS).select(*block, "c", "bit")
+    uses = _with(uses, bits, [*block, "c"], "left")
+    words = [F.coalesce(F.bit_or(F.when(F.floor(F.col("bit") / 64) == k, F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("bit") % 64).cast("int")))), F.lit(0).cast("long")).alias(f"w{k}") for k in range(WORDS)]
+    entry = F.struct("uses", "c")
+    ordered = _with(rows.select("id", *block, "whole", F.explode("p").alias("c")).distinct(), uses, [*block, "c"], "inner").groupBy("id", *block, "whole")
+    ordered = ordered.agg(F.sort_array(F.collect_list(entry)).alias("s"), F.collect_list(F.when(F.col("bit").isNull(), F.col("c"))).alias("rest"), *words)
+    ordered = ordered.withColumn("p", F.transform("s", lambda x: x["c"]))
     n = F.size("p")
     prefix = F.slice("p", F.lit(1), (n - F.ceil(n * least - 1e-9).cast("int") + 1).cast("int"))
-    keyed = ordered.select("*", F.posexplode(prefix).alias("at", "c"))
-    a, b = keyed.alias("a"), keyed.alias("b")
+    met = ordered.select(*block, F.explode(prefix).alias("c")).groupBy(*block, "c").agg(F.count("*").cast("double").alias("f"))
+    met = met.groupBy(*block).agg(F.sum(F.col("f") * (F.col("f") - 1)).alias("met"))
+    sizes = ordered.groupBy(*block).agg(F.count("*").alias("sprites"))
+    plan = _with(sizes, met, block, "inner").select(*block, "sprites", (F.col("met") >= F.col("sprites").cast("double") * (F.col("sprites") - 1)).alias("dense"))
+    ordered = _with(ordered, plan, block, "inner")
+    few, many = (ordered.filter(c) for c in (F.col("dense"), ~F.col("dense")))
+    return _tiled(few, block, least).union(_prefixed(many.withColumn("prefix", prefix), block, least))
+
+
+def _with(a: DataFrame, b: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join in which null keys are equal; columns of the left, then those of the right."""
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    more = [F.col(f"b.{c}").alias(c) for c in b.columns if c not in keys]
+    return a.alias("a").join(b.alias("b"), on, how).select(*(F.col(f"a.{c}").alias(c) for c in a.columns), *more)
+
+
+def _tiled(rows: DataFrame, block: list[str], least: float) -> DataFrame:
+    """Pairs of blocks that are compared whole. A tile has about TILE sprites; a pair of tiles is one key,
+    so what a task holds is bounded, and the keys of a hot block are dealt to all tasks."""
+    tiles = F.ceil(F.col("sprites") / TILE)
+    rows = rows.select("id", *block, F.size("p").alias("n"), "rest", *(f"w{k}" for k in range(WORDS)), tiles.alias("tiles"), F.pmod(F.xxhash64("id", "whole"), tiles).alias("tile"))
+    keys = [*block, "t", "u"]
+    a = rows.select("*", F.col("tile").alias("t"), F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("u"))
+    b = rows.select("*", F.col("tile").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("t"))
+    dealt = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number: little data, much work
+    a, b = (x.drop("tile", "tiles").repartition(dealt, *keys) for x in (a, b))
+    on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    shared = sum((F.bit_count(F.col(f"a.w{k}").bitwiseAND(F.col(f"b.w{k}"))) for k in range(1, WORDS)), F.bit_count(F.col("a.w0").bitwiseAND(F.col("b.w0"))))
+    whole = F.col("a.n") + F.col("b.n")
+    most = shared + F.least(F.size("a.rest"), F.size("b.rest"))
+    once = (F.col("a.t") < F.col("a.u")) & (F.col("a.id") != F.col("b.id")) | (F.col("a.id") < F.col("b.id"))
+    met = a.alias("a").join(b.alias("b").hint("merge"), [*on, most * F.lit(1 + least) >= F.lit(least) * whole - 1e-9, once])
+    rest = F.when((F.size("a.rest") > 0) & (F.size("b.rest") > 0), F.size(F.array_intersect("a.rest", "b.rest"))).otherwise(0)
+    both = (shared + rest).cast("double")
+    found = met.select(F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b"), (both / (whole - both)).alias("similarity"), *(F.col(f"a.{k}").alias(k) for k in block))
+    return found.filter(F.col("similarity") >= least)
+
+
+def _prefixed(rows: DataFrame, block: list[str], least: float) -> DataFrame:
+    """Pairs of blocks whose sprites meet at colours of their prefixes."""
+    keyed = rows.select("id", *block, "p", F.posexplode("prefix").alias("at", "c"))
+    a, b = keyed.alias("a"), keyed.alias("b").hint("merge")  # exploded rows are more than the planner expects
     on = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in block] + [F.col("a.c") == F.col("b.c"), F.col("a.id") < F.col("b.id")]
     sizes = F.least(F.size("a.p"), F.size("b.p")) >= F.greatest(F.size("a.p"), F.size("b.p")) * F.lit(least) - 1e-9
     # From this colour on, the first that both have, they share at most what is left of either.

@@ -288,6 +288,23 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got == sorted(f"Row(id_a={a}, id_b={b}, similarity={s}, pack={p!r})" for a, b, s, p in want)
 
 
+def test_similar_pairs_of_few_colours_are_compared_as_bits(spark, monkeypatch):
+    """Blocks of few colours in several tiles, with colours beyond the bits, beside one of many colours."""
+    monkeypatch.setattr(similarity, "WORDS", 1)
+    monkeypatch.setattr(similarity, "TILE", 7)
+    rng = np.random.default_rng(6)
+    base = rng.permutation(100)
+    rows = [(i % 55, "few" if i % 2 else None, sorted({*base[: 40 + i % 5].tolist(), *rng.integers(0, 100, 25 + i % 20).tolist()})) for i in range(60)]
+    rows += [(100 + i, "many", [i * 10 // 2 * 2 + k for k in range(5)]) for i in range(40)] + [(1, "few", list(range(50))), rows[3]]
+    found = similarity.similar_pairs(spark.createDataFrame(rows, "sprite_id long, pack string, palette array<int>"), ["pack"])
+    whole = {(i, p, tuple(c)) for i, p, c in rows}
+    pairs = [(a, b, set(a[2]), set(b[2])) for a, b in itertools.permutations(whole, 2) if a[0] < b[0] and a[1] == b[1]]
+    want = [(a[0], b[0], len(x & y) / len(x | y), a[1]) for a, b, x, y in pairs if len(x & y) / len(x | y) >= 0.6]
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and 100 < len(want) < len(pairs)
+    assert "bit_count" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_hash_pairs_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     base = [int(x) for x in rng.integers(0, 1 << 63, 6)]
